@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, html, packing, pii, quality
+from . import common, html, packing, pii, quality, simhash, tiling
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of document and benchmark item that leaked into it."""
+    return tiling.leaks(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")).drop("tiles")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +22,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(common.read(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(common.read(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measured(common.read(spark, sf_dir, "documents"))
 
@@ -26,8 +35,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
+    "op8_simhash": op8_simhash,
     "op9_quality": op9_quality,
     "op10_html": op10_html,
 }
