@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, html, packing, pii, quality, simhash, tiling
+from . import common, html, lines, packing, pii, quality, simhash, tiling
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.leaks(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")).drop("tiles")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(common.read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(common.read(spark, sf_dir, "documents")).drop("ids")
 
@@ -36,6 +40,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op4_line_dedup": op4_line_dedup,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
