@@ -210,8 +210,8 @@ def report(df: DataFrame) -> DataFrame:
     return grouped(df).select(common.public_id(), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), common.public_id("component_id"))
 
 
-def kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of df of which one document of each group stays: the one of smallest id (and of its repeated rows, one)."""
-    lead = grouped(df).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+    lead = grouped(df, shingle, max_bits).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
     named = df.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)))
     return named.join(lead, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns)
