@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarrelscope.llm import common, packing, quality
+from quarrelscope.llm import common, lines, packing, quality, simhash, tiling
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +17,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; lines that repeat in one document or are boilerplate of many are cut from later ones."""
+    return lines.cleaned(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of smallest id.
+
+    Shingles have five words here, so that short common phrases link no documents.
+    """
+    return simhash.kept(docs, shingle=5)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    return tiling.kept(docs, common.read(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     return packing.packed(docs).drop("ids")
 
 
-STAGES = [("quality rules", quality_rules), ("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("packing", pack),
+]
 
 #: Packing and the passes over words can't be told in SQL; tests/llm holds brute-force versions.
 ORACLE_SQL = None
