@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, html, lines, packing, pii, quality, simhash, tiling
+from . import common, html, lines, packing, pii, quality, repeats, simhash, tiling
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(common.read(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(common.read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(common.read(spark, sf_dir, "documents")).drop("ids")
 
@@ -41,6 +45,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op4_line_dedup": op4_line_dedup,
+    "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
     "op7_pii": op7_pii,
     "op8_simhash": op8_simhash,
