@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, html, lines, packing, pii, quality, repeats, simhash, tiling
+from . import chat, common, html, licenses, lines, packing, pii, quality, repeats, simhash, tiling
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.leaks(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark")).drop("tiles")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_files(common.read(spark, sf_dir, "documents")))
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(common.read(spark, sf_dir, "conversations"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(common.read(spark, sf_dir, "documents"))
 
@@ -44,6 +52,8 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_licenses": op2_licenses,
+    "op3_chat": op3_chat,
     "op4_line_dedup": op4_line_dedup,
     "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,
@@ -52,4 +62,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_html": op10_html,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
