@@ -1,0 +1 @@
+"""Column expressions: strings, paths, titles, numbers."""

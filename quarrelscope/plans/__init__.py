@@ -1,0 +1 @@
+"""Whole plans: the warehouse and the named queries."""

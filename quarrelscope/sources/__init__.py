@@ -1,0 +1 @@
+"""Readers, writers, schemas and constraint checks."""
