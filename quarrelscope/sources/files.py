@@ -15,15 +15,16 @@ from . import schema
 
 #: No field is this text, so an unquoted empty field reads as null and a quoted one as an empty string.
 _UNUSED_NULL = "\\N"
+_TIMES = ("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
 
 
 def read_csv(spark: SparkSession, path: str, columns) -> DataFrame:
     """CSV with a header, standard quoting and line feeds inside quotes."""
-    return spark.read.schema(columns).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue=_UNUSED_NULL, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+    return spark.read.schema(columns).option(*_TIMES).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue=_UNUSED_NULL)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, mode="overwrite", quote='"', escape='"', emptyValue='""', nullValue="", timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+    df.write.option(*_TIMES).csv(path, header=True, mode="overwrite", quote='"', escape='"', emptyValue='""', nullValue="")
 
 
 def pages_out(pages: DataFrame) -> DataFrame:
