@@ -42,19 +42,23 @@ _PIVOTS = np.random.default_rng(8).integers(0, 2**63, PIVOTS, dtype=np.uint64) *
 WINDOW_PAIRS = 1 << 20
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """XXH64 of each shingle; fewer words are one shingle."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes.lower changes A-Z only; bytes.split cuts at the six ASCII spaces
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     if len(words) <= shingle:
-        h = np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
-    else:
-        n = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(n + 1) - 1
-        starts = (ends - n)[: len(words) - shingle + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        h = np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())), np.uint64, len(starts))
+        return np.array([xxhash.xxh64_intdigest(line, SEED)], np.uint64)
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(n + 1) - 1
+    starts = (ends - n)[: len(words) - shingle + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(line[s:e], SEED) for s, e in zip(starts, ends[shingle - 1 :].tolist())), np.uint64, len(starts))
+
+
+def majority(h: np.ndarray) -> int:
+    """Bits that are set in over half the hashes."""
     count = np.zeros(BITS, np.int64)
     for at in range(0, len(h), 4096):
         bits = np.unpackbits(h[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -62,6 +66,11 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * count > len(h)).tobytes(), "big")
 
 
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    h = shingle_hashes(text, shingle)
+    return majority(h) if len(h) else 0
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -210,8 +219,86 @@ def report(df: DataFrame) -> DataFrame:
     return grouped(df).select(common.public_id(), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), common.public_id("component_id"))
 
 
-def kept(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of df of which one document of each group stays: the one of smallest id (and of its repeated rows, one)."""
-    lead = grouped(df, shingle, max_bits).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
+# A wide form for similarities that 64 bits and a few differing ones can't tell.
+
+WIDE_SHINGLE, WIDE_WORDS, WIDE_BITS = 5, 4, 50
+#: Of WIDE_BANDS buckets, texts of Jaccard similarity 0.8 share none with probability 0.00005 (1 - 0.8 ** 3) ** 14.
+WIDE_BANDS, WIDE_ROWS = 14, 3
+_ODD = np.random.default_rng(14).integers(1, 2**63, WIDE_BANDS * WIDE_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SALTS = common.splitmix(np.arange(1, WIDE_WORDS + 1, dtype=np.uint64))
+
+
+def wide_fingerprint(text: str, shingle: int = WIDE_SHINGLE) -> tuple[list[int], list[int]]:
+    """(fingerprint words, bucket keys), signed; of the set of shingles."""
+    h = np.unique(shingle_hashes(text, shingle))
+    if not len(h):
+        return [0] * WIDE_WORDS, [0] * WIDE_BANDS
+    words = [signed(majority(common.splitmix(h ^ salt))) for salt in _SALTS]
+    with np.errstate(over="ignore"):
+        least = np.array([(h * m).min() for m in _ODD], np.uint64).reshape(WIDE_BANDS, WIDE_ROWS)
+        key = np.arange(WIDE_BANDS, dtype=np.uint64)
+        for k in range(WIDE_ROWS):
+            key = common.splitmix(key ^ least[:, k]) + np.uint64(k)
+    return words, key.view(np.int64).tolist()
+
+
+def wide_links(distinct: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
+    """Links (a, b) of nodes, from (node, fp array, keys array): a forest in each bucket."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for _, parts in common.row_groups(batches, "bucket"):
+            if sum(b.num_rows for b in parts) < 2:
+                continue
+            node = np.concatenate([b.column(1).to_numpy() for b in parts])
+            fp = np.concatenate([b.column(2).flatten().to_numpy().view(np.uint64).reshape(-1, WIDE_WORDS) for b in parts])
+            n = len(node)
+            trees = Forest(n)
+            step = max(1, WINDOW_PAIRS // n)
+            for at in range(0, n, step):  # some rows against all after them
+                d = np.bitwise_count(fp[at : at + step, None, :] ^ fp[None, at:, :]).sum(axis=2, dtype=np.int32)
+                x, y = np.nonzero(d <= max_bits)
+                near = y > x
+                for p, q in zip((x[near] + at).tolist(), (y[near] + at).tolist()):
+                    trees.join(p, q)
+            root = np.array([trees.root(k) for k in range(n)])
+            moved = np.flatnonzero(root != np.arange(n))
+            if len(moved):
+                yield common.batch(schema, node[moved], node[root[moved]])
+
+    rows = distinct.select(F.explode("keys").alias("bucket"), "node", "fp")
+    return rows.repartition(common.n_shards(distinct), "bucket").sortWithinPartitions("bucket").mapInArrow(met, "a bigint, b bigint").distinct()
+
+
+def wide_grouped(df: DataFrame, shingle: int = WIDE_SHINGLE, max_bits: int = WIDE_BITS) -> DataFrame:
+    """(doc_id, component_id): groups of texts whose wide fingerprints differ in at most max_bits of 256 bits.
+
+    For sets of shingles of Jaccard similarity s, a bit differs with probability
+    acos(2s / (1 + s)) / pi: on average 39 of 256 bits at 0.8, 81 at 0.3, 128 for
+    unrelated texts; WIDE_BITS leaves two standard deviations to the pairs at 0.8.
+    Texts meet in WIDE_BANDS buckets of WIDE_ROWS least hashes each, which
+    blocks of bits can't replace at this distance, and pivots prune nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+        for b in common.small(batches, 2048):
+            yield common.batch(schema, b.column(0), *zip(*(wide_fingerprint(t, shingle) for t in b.column(1).to_pylist())))
+
+    prints = common.documents(df).select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp array<bigint>, keys array<bigint>")
+    prints = common.written(prints, "fingerprints")
+    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys")), "distinct-fingerprints")
+    roots = components(wide_links(distinct, max_bits)).withColumnRenamed("root", "component_id")
+    label = distinct.join(roots, "node", "left").select("fp", F.coalesce("component_id", "node").alias("component_id"))
+    return prints.select("doc_id", "fp").join(label, "fp").select("doc_id", "component_id")
+
+
+def kept(df: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """The rows of df of which one document of each group stays: the one of smallest id (and of its repeated rows, one).
+
+    groups: (doc_id, component_id), as :func:`grouped` (the default) or :func:`wide_grouped` give them.
+    """
+    groups = grouped(df) if groups is None else groups
+    lead = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
     named = df.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)))
     return named.join(lead, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns)
