@@ -25,9 +25,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of smallest id.
 
-    Shingles have five words here, so that short common phrases link no documents.
+    Groups are those of the wide fingerprints: shingles of five words, similarity of
+    about 0.8 or more.
     """
-    return simhash.kept(docs, shingle=5)
+    return simhash.kept(docs, simhash.wide_grouped(docs))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
