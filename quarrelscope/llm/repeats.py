@@ -266,6 +266,16 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
             keys = np.sort(np.concatenate([_unpacked(x, "<u8", _ROW, _DOC)[0] for x in own]))
             again = np.unique(keys[1:][keys[1:] == keys[:-1]])
             del keys
+            held, n, docs_before = [], 0, 0
+
+            def flushed() -> Iterator[pa.RecordBatch]:
+                key, rows, who = (np.concatenate(x) for x in zip(*held))
+                for s, at in _by_shard(_doc_shard(who["doc_id"][rows["doc"]], shards), shards):
+                    used, doc = np.unique(rows["doc"][at], return_inverse=True)
+                    some = rows[at]
+                    some["doc"] = doc
+                    yield _rows([s], [ARRAYS], [0], [0], [_packed(key[at], some, who[used])])
+
             for x in own:  # blob by blob: a blob is bounded, whatever one anchor's share is
                 key, rows, who = _unpacked(x, "<u8", _ROW, _DOC)
                 at = np.searchsorted(again, key)
@@ -273,11 +283,14 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
                 if not len(hit):
                     continue
                 key, rows = key[hit], rows[hit]
-                for s, at in _by_shard(_doc_shard(who["doc_id"][rows["doc"]], shards), shards):
-                    used, doc = np.unique(rows["doc"][at], return_inverse=True)
-                    some = rows[at]
-                    some["doc"] = doc
-                    yield _rows([s], [ARRAYS], [0], [0], [_packed(key[at], some, who[used])])
+                rows["doc"] += docs_before
+                held.append((key, rows, who))
+                n, docs_before = n + len(key), docs_before + len(who)
+                if n >= FLUSH_ANCHORS:
+                    yield from flushed()
+                    held, n, docs_before = [], 0, 0
+            if held:
+                yield from flushed()
 
     posted = docs.select("doc_id", "text", "_h").mapInArrow(post, TAGGED)
     return common.dealt(posted).mapInArrow(meet, TAGGED)
