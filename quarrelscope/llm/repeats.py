@@ -12,11 +12,11 @@ strings with one anchor form a context (LENGTH to 2 * LENGTH - GRAM bytes).
 1. Anchors are dealt by hash.  Those that occur once can't repeat and are done.
 2. The contexts of repeated anchors are cut from their texts and dealt by anchor.
    Contexts that are equal as a whole need no more than their earliest place.
-3. Where an anchor has different contexts, their concatenation gets a
-   Burrows-Wheeler transform, and breadth-first backward extension (every interval of
-   l-byte strings, by one byte to the left) sets the common prefixes of neighbouring
-   suffixes by increasing value.  It stops at LENGTH: intervals that are still whole
-   are the repeated strings, and each keeps its earliest place.
+3. Where an anchor has different contexts, breadth-first backward extension on their
+   Burrows-Wheeler transform (every interval of l-byte strings, by one byte to the
+   left) derives the common prefixes of neighbours by increasing value.  It stops at
+   LENGTH: intervals that still have several rows are the repeated strings, and each
+   keeps its earliest place.
 4. The spans of all other places go back to their documents and are merged.
 
 Rows travel as compressed arrays, dealt by hash; a batch sends an anchor that it
@@ -48,7 +48,6 @@ LENGTH, GRAM = 100, 28
 PART_BYTES, FLUSH_ANCHORS, CHUNK_BYTES, SEEN = 1 << 20, 1_000_000, 1 << 20, 1_000_000
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SEPARATOR = 0xFF  # no byte of UTF-8
 _tables: dict[str, np.ndarray] = {}
 _ROW = np.dtype([("doc", "<u4"), ("start", "<i8"), ("shift", "u1"), ("windows", "u1")])
 _DOC = np.dtype([("doc_id", "<i8"), ("h", "<i4")])
@@ -128,59 +127,34 @@ def parts(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, bytes]]:
 def repeated_windows(contexts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group, context, offset) of every string of so many bytes that occurs twice or more among the contexts.
 
-    Bounded suffix order, Burrows-Wheeler transform, then backward extension by
-    levels: the class of a suffix's first l + 1 bytes is the byte before plus the class
-    of the next suffix's first l.  Rows whose class has one member leave at once.
+    Level l holds the strings' last l bytes in sorted order, cut to intervals of equal
+    ones.  The bytes before them, in that order, are the Burrows-Wheeler transform of
+    the level; one stable sort by that byte maps every row to its place on the next
+    level (the last-to-first mapping) and extends all intervals to the left at once.
+    Neighbours that part on level l + 1 have l bytes in common; intervals of one row
+    can't become a repeat and leave.
     """
-    none = tuple(np.zeros(0, np.int64) for _ in range(3))
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
-    joined = np.frombuffer(bytes([_SEPARATOR]).join(contexts) + bytes([_SEPARATOR]), np.uint8)
-    n = len(joined)
-    ends = np.cumsum(sizes + 1) - 1
-    padded = np.concatenate([joined, np.full(8, _SEPARATOR, np.uint8)])
-    rank = np.zeros(n, np.uint64)
-    for k in range(8):
-        rank = rank << np.uint64(8) | padded[k : k + n]
-    known = 8
-    while True:  # suffixes in the order of their first bytes, by doubling
-        order = np.argsort(rank, kind="stable")
-        s = rank[order]
-        new = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])
-        if known >= length or int(new[-1]) == n - 1:
-            break
-        rank = np.empty(n, np.uint64)
-        rank[order] = new.astype(np.uint64)
-        after = np.zeros(n, np.uint64)
-        after[: n - known] = rank[known:] + np.uint64(1) if known < n else 0
-        rank = rank << np.uint64(32) | after
-        known *= 2
-    before = joined[order - 1]  # the transform; the first suffix's byte before is the last separator
-    back = np.argsort(before, kind="stable")  # row of the suffix one byte shorter
-    front = before[back]
-    of = np.searchsorted(ends, order)
-    room = ends[of] - order  # bytes up to the context's end
-    cls = front.astype(np.int64)
-    apart = 256 + n + np.arange(n)  # classes of one, for rows that have left
-    cls[room < 1] = apart[room < 1]
-    rows = np.flatnonzero(room >= 1)
-    for level in range(2, length + 1):
-        fit = room[rows] >= level
-        left = rows[~fit]
-        rows = rows[fit]
-        c, f = cls[back[rows]], front[rows]
-        same = (rows[1:] == rows[:-1] + 1) & (c[1:] == c[:-1]) & (f[1:] == f[:-1])
-        whole = np.zeros(len(rows), bool)
-        whole[1:] |= same
-        whole[:-1] |= same
-        ids = np.concatenate([[0], np.cumsum(~same)]) if len(rows) else rows
-        cls[left] = apart[left]
-        cls[rows[~whole]] = apart[rows[~whole]]
-        cls[rows[whole]] = ids[whole]
-        rows = rows[whole]
+    windows = np.maximum(sizes - length + 1, 0)
+    text = np.frombuffer(b"".join(contexts), np.uint8)
+    of = np.repeat(np.arange(len(contexts), dtype=np.int32), windows)
+    offset = (np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
+    place = (np.cumsum(sizes) - sizes)[of].astype(np.int32) + offset
+    rows = np.arange(len(of), dtype=np.int32)
+    interval = np.zeros(len(of), np.int32)
+    for back in range(length - 1, -1, -1):
         if not len(rows):
-            return none
-    at = order[rows]
-    return cls[rows], of[rows], at - (ends[of[rows]] - sizes[of[rows]])
+            break
+        byte = text[place[rows] + back]
+        to = np.argsort(byte, kind="stable")
+        byte, rows, interval = byte[to], rows[to], interval[to]
+        parts = np.ones(len(rows) + 1, bool)
+        parts[1:-1] = (interval[1:] != interval[:-1]) | (byte[1:] != byte[:-1])
+        interval = np.cumsum(parts[:-1], dtype=np.int32)
+        alone = parts[:-1] & parts[1:]
+        if alone.any():
+            rows, interval = rows[~alone], interval[~alone]
+    return interval.astype(np.int64), of[rows].astype(np.int64), offset[rows].astype(np.int64)
 
 
 def _h32(h: np.ndarray) -> np.ndarray:
