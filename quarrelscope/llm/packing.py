@@ -7,8 +7,8 @@ GROUP_TOKENS tokens, so memory is bounded and no shuffle is needed.  Inside a gr
 of T tokens there are ceil(T / capacity) sequences.  Documents of more than one
 sequence give whole sequences first; the rest are taken by falling length, and each
 goes to the sequence of lowest cost among those with room for it.  One that fits
-nowhere is cut to fill the roomiest sequences.  All sequences of a group but one are
-full, so at most one sequence in GROUP_TOKENS tokens needs padding.
+nowhere is cut to fill the roomiest sequences.  A group has no sequence more than its
+tokens need, so its padding is less than one sequence in GROUP_TOKENS tokens.
 
 Each document ends with END_ID; an empty or null text is that id alone.  Repeated
 rows are packed one by one.  Sequence ids are unique over tasks (task number in the
