@@ -1,8 +1,7 @@
 """Ranks and percentiles of the cube, among all pages of a type and among those of a topic.
 
 Windows run over the distinct weights of a partition with their counts, not over its
-pages: one sort gives percentile, dense percentile and rank, and a weight that
-many pages share (zero, above all) is one row.
+pages: a weight that many pages share (zero, above all) is one row.
 """
 
 from __future__ import annotations
@@ -15,17 +14,42 @@ TOPIC_KEYS = (*GLOBAL_KEYS, "topic_id")
 MEASURES = ("weight", "percentile", "dense_percentile", "rank", "topic_percentile", "topic_dense_percentile", "topic_rank", "year")
 
 
+#: Slices of weights by doubling.
+SLICES = 64
+
+
+def _slice(weight: str):
+    """A whole number that rises with the weight; it depends on nothing else, so slices need no sample."""
+    w = F.col(weight)
+    return (F.signum(w) * F.floor(F.log2(1 + F.abs(w)) * SLICES)).cast("int")
+
+
 def standings(cube: DataFrame, keys: tuple[str, ...] = GLOBAL_KEYS, prefix: str = "") -> DataFrame:
-    """(keys, weight, percentile, dense_percentile, rank) of each distinct weight."""
-    values = cube.groupBy(*keys, "weight").agg(F.count("*").alias("_n"))
-    ordered = Window.partitionBy(*keys).orderBy("weight")
-    all_ = Window.partitionBy(*keys)
-    below = F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    values = values.select(*keys, "weight", "_n", F.coalesce(below, F.lit(0)).alias("_below"), F.row_number().over(ordered).alias("_dense"), F.sum("_n").over(all_).alias("_all"), F.count("*").over(all_).alias("_distinct"))
-    percentile = F.col("_below") / F.greatest(F.col("_all") - 1, F.lit(1)).cast("double")
-    dense = (F.col("_dense") - F.lit(1.0)) / F.greatest(F.col("_distinct") - 1, F.lit(1)).cast("double")
-    rank = F.col("_all") - F.col("_below") - F.col("_n") + 1
-    return values.select(*keys, "weight", percentile.alias(f"{prefix}percentile"), dense.alias(f"{prefix}dense_percentile"), rank.alias(f"{prefix}rank"))
+    """(keys, weight, percentile, dense_percentile, rank) of each distinct weight.
+
+    Sums over smaller weights are those inside the weight's slice plus those of smaller
+    slices, so the largest sort is a slice's, not a partition's.
+    """
+    values = cube.groupBy(*keys, "weight").agg(F.count("*").alias("_n")).withColumn("_slice", _slice("weight"))
+    slices = values.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_slice_n"), F.count("*").alias("_slice_distinct"))
+    smaller = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    slices = slices.select(
+        *keys, "_slice",
+        F.coalesce(F.sum("_slice_n").over(smaller), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_slice_distinct").over(smaller), F.lit(0)).alias("_dense_before"),
+        F.sum("_slice_n").over(whole).alias("_all"),
+        F.sum("_slice_distinct").over(whole).alias("_distinct"),
+    )
+    inside = Window.partitionBy(*keys, "_slice").orderBy("weight")
+    below = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = values.select(*keys, "_slice", "weight", "_n", F.coalesce(below, F.lit(0)).alias("_inside"), F.row_number().over(inside).alias("_dense"))
+    placed = placed.join(slices, [*keys, "_slice"])
+    lower = F.col("_before") + F.col("_inside")
+    percentile = lower / F.greatest(F.col("_all") - 1, F.lit(1)).cast("double")
+    dense = (F.col("_dense_before") + F.col("_dense") - F.lit(1.0)) / F.greatest(F.col("_distinct") - 1, F.lit(1)).cast("double")
+    rank = F.col("_all") - lower - F.col("_n") + 1
+    return placed.select(*keys, "weight", percentile.alias(f"{prefix}percentile"), dense.alias(f"{prefix}dense_percentile"), rank.alias(f"{prefix}rank"))
 
 
 def ranked(cube: DataFrame) -> DataFrame:
