@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import documents, edits, graph, indices, ranks, social, topten, tree
 from ..sources import files, schema, tables
+from ..sources.store import shared_folder
 from . import oracle
 from .warehouse import Warehouse
 
@@ -23,7 +24,7 @@ def query(sql: str | None = None, *, abstracts: bool = False, name: str | None =
 
     def register(fn):
         key = name or fn.__name__
-        QUERIES[key] = lambda spark, sf_dir: fn(Warehouse.of_tables(spark, sf_dir, abstracts, persist=True))
+        QUERIES[key] = lambda spark, sf_dir: fn(Warehouse.of_tables(spark, sf_dir, abstracts))
         if sql:
             ORACLE_SQL[key] = oracle.select(sql)
         return fn
@@ -37,7 +38,7 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most conflicted articles by topic and year."""
-    return topten.by_topic(Warehouse.of_tables(spark, sf_dir, persist=True).conflict_cube)
+    return topten.by_topic(Warehouse.of_tables(spark, sf_dir).conflict_cube)
 
 
 # sources, projections and filters
@@ -421,7 +422,7 @@ def x14_paths(w):
 
 @query("SELECT page_id, translate(page_url, ' /?#', '_∕？＃') AS url FROM (SELECT page_id, url AS page_url FROM source_pages)")
 def x15_translate(w):
-    spark, sf_dir = w.raw_pages.sparkSession, w.sf_dir
+    spark, sf_dir = w.raw_pages.sparkSession, w.source
     return tables.table(spark, sf_dir, "pages").select("page_id", X.url_text("url").alias("url"))
 
 
@@ -465,7 +466,7 @@ def x22_rfc3339(w):
 def s7_csv_roundtrip(w):
     """Pages and revisions written as interchange CSV and read again."""
     spark = w.raw_pages.sparkSession
-    folder = _shared(spark, "interchange")
+    folder = f"{shared_folder(spark)}/interchange-{uuid.uuid4().hex}"
     files.write_csv(files.pages_out(w.raw_pages), f"{folder}/pages")
     files.write_csv(files.revisions_out(w.revisions), f"{folder}/revisions")
     pages = files.pages_in(files.read_csv(spark, f"{folder}/pages", schema.PAGES_CSV))
@@ -483,11 +484,3 @@ def s16_documents(w):
 )
 def k_constraints(w):
     return schema.violations(w.raw_pages, w.revisions)
-
-
-def _shared(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors reach: under spark.checkpoint.dir, or a temporary one where that is unset."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

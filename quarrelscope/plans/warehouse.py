@@ -1,54 +1,49 @@
 """The whole analysis as lazily linked frames over pages and revisions.
 
-Aggregates that several results share (far smaller than the revisions) are persisted
-by :meth:`Warehouse.shared` where the caller asks for it, in memory and then on disk;
-a lost executor's part is computed again from its lineage.
+Aggregates that several results share (far smaller than the revisions) are written
+once and reused, like the tables of a warehouse; see :mod:`quarrelscope.sources.store`.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import documents, graph, indices, polemic, ranks, social, topten, tree
 from ..sources import tables
+from ..sources.store import STORE
 
 
 class Warehouse:
-    def __init__(self, pages: DataFrame, revisions: DataFrame, edits: DataFrame | None = None, persist: bool = False):
-        """pages: without creation years; revisions: with serials and differences; edits: revisions where counting needs neither."""
+    def __init__(self, pages: DataFrame, revisions: DataFrame, edits: DataFrame | None = None, source: str | None = None):
+        """pages: without creation years; revisions: with serials and differences; edits: revisions where counting needs neither.
+
+        source: what the frames are derived from; named, shared tables are written and reused under it.
+        """
         self.raw_pages, self.revisions = pages, revisions
         self.edits = edits if edits is not None else revisions
-        self._persist, self._held = persist, []
+        self.source = source
 
     @classmethod
-    def of_tables(cls, spark: SparkSession, sf_dir: str, abstracts: bool = False, persist: bool = False) -> Warehouse:
-        out = cls(tables.pages(spark, sf_dir, abstracts), tables.revisions(spark, sf_dir), tables.edits(spark, sf_dir), persist)
-        out.sf_dir = sf_dir
-        return out
-
-    def shared(self, df: DataFrame) -> DataFrame:
-        if self._persist:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self._held.append(df)
-        return df
+    def of_tables(cls, spark: SparkSession, sf_dir: str, abstracts: bool = False, materialise: bool = True) -> Warehouse:
+        return cls(tables.pages(spark, sf_dir, abstracts), tables.revisions(spark, sf_dir), tables.edits(spark, sf_dir), sf_dir if materialise else None)
 
-    def close(self) -> None:
-        """Let go of what is persisted."""
-        while self._held:
-            self._held.pop().unpersist()
+    def shared(self, name: str, make) -> DataFrame:
+        """An aggregate that several results need: written once for a named source, else just made."""
+        if self.source is None:
+            return make()
+        return STORE.table(self.raw_pages.sparkSession, self.source, name, make)
 
     @cached_property
     def timebounds(self) -> DataFrame:
-        return self.shared(tree.timebounds(self.edits))
+        return self.shared("timebounds", lambda: tree.timebounds(self.edits))
 
     @cached_property
     def spans(self) -> DataFrame:
-        return self.shared(tree.page_spans(self.edits))
+        return self.shared("spans", lambda: tree.page_spans(self.edits))
 
     @cached_property
     def pages(self) -> DataFrame:
@@ -64,7 +59,7 @@ class Warehouse:
 
     @cached_property
     def counts(self) -> DataFrame:
-        return self.shared(social.counts(social.rolled_up(self.article_editors, self.pagetree)))
+        return self.shared("counts", lambda: social.counts(social.rolled_up(self.article_editors, self.pagetree)))
 
     @cached_property
     def live_articles(self) -> DataFrame:
@@ -92,7 +87,7 @@ class Warehouse:
 
     @cached_property
     def articles_polemic(self) -> DataFrame:
-        return self.shared(polemic.articles_polemic(self.untimed, self.time_weights))
+        return self.shared("articles_polemic", lambda: polemic.articles_polemic(self.untimed, self.time_weights))
 
     @cached_property
     def above_polemic(self) -> DataFrame:
@@ -105,7 +100,7 @@ class Warehouse:
     @cached_property
     def cube(self) -> DataFrame:
         """The cube with weights of nine digits, so that no sum's order can part equal weights."""
-        return self.shared(indices.zero_filled(self.indices, self.pages, self.timebounds).withColumn("weight", F.round("weight", 9)))
+        return self.shared("cube", lambda: indices.zero_filled(self.indices, self.pages, self.timebounds).withColumn("weight", F.round("weight", 9)))
 
     @cached_property
     def conflict_cube(self) -> DataFrame:
@@ -113,7 +108,7 @@ class Warehouse:
 
     @cached_property
     def ranked(self) -> DataFrame:
-        return self.shared(ranks.ranked(self.cube))
+        return self.shared("ranked", lambda: ranks.ranked(self.cube))
 
     @cached_property
     def topic_names(self) -> DataFrame:
@@ -130,7 +125,7 @@ class Warehouse:
 
     @cached_property
     def topten_lists(self) -> DataFrame:
-        return topten.lists(self.topic_toptens)
+        return self.shared("topten_lists", lambda: topten.lists(self.topic_toptens))
 
     @cached_property
     def contributions(self) -> DataFrame:
@@ -138,7 +133,7 @@ class Warehouse:
 
     @cached_property
     def jumps(self) -> DataFrame:
-        return self.shared(graph.jumps(graph.similarities(self.contributions)))
+        return self.shared("jumps", lambda: graph.jumps(graph.similarities(self.contributions)))
 
     @cached_property
     def social_jumps(self) -> DataFrame:
