@@ -31,6 +31,16 @@ class Warehouse:
     def of_tables(cls, spark: SparkSession, sf_dir: str, abstracts: bool = False, materialise: bool = True) -> Warehouse:
         return cls(tables.pages(spark, sf_dir, abstracts), tables.revisions(spark, sf_dir), tables.edits(spark, sf_dir), sf_dir if materialise else None)
 
+    def save(self, path: str) -> None:
+        """Pages and revisions as Parquet, revisions by year."""
+        self.raw_pages.write.mode("overwrite").parquet(f"{path}/pages")
+        self.revisions.write.mode("overwrite").partitionBy("rev_year").parquet(f"{path}/revisions")
+
+    @classmethod
+    def opened(cls, spark: SparkSession, path: str) -> Warehouse:
+        """What save() wrote; its shared tables are kept under the path."""
+        return cls(spark.read.parquet(f"{path}/pages"), spark.read.parquet(f"{path}/revisions"), source=path)
+
     def shared(self, name: str, make) -> DataFrame:
         """An aggregate that several results need: written once for a named source, else just made."""
         if self.source is None:
@@ -143,8 +153,10 @@ class Warehouse:
     def page_infos(self) -> DataFrame:
         return documents.page_infos(self.pages, ranks.nested(self.ranked), documents.neighbours(self.pages, self.social_jumps))
 
-    def enrichment(self) -> DataFrame:
-        """Word statistics of the abstracts, as outside sources give them."""
+    def enrichment(self, saved: str | None = None) -> DataFrame:
+        """Word statistics by page: from a saved table (id, fields) if one is named, else from the abstracts."""
+        if saved:
+            return documents.enriched(self.raw_pages, [self.raw_pages.sparkSession.read.parquet(saved)])
         texts = self.raw_pages.where(F.col("page_abstract").isNotNull()).select(F.col("page_id").alias("id"), F.col("page_abstract").alias("text"))
         counts = documents.word_counts(texts)
         return documents.enriched(self.raw_pages, [documents.word_maps(counts, "n", "Word2Occur"), documents.word_maps(documents.tf_idf(counts), "tfidf", "Word2TFIDF")])

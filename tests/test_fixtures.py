@@ -190,6 +190,13 @@ def test_documents_and_tar(spark, warehouse, tmp_path):
         assert b"<h1>Ten</h1>" in gzip.GzipFile(fileobj=io.BytesIO(body)).read()
 
 
+def test_saved_warehouse_gives_the_same_cube(spark, warehouse, tmp_path):
+    warehouse.save(str(tmp_path / "w"))
+    opened = Warehouse.opened(spark, str(tmp_path / "w"))
+    rows = lambda w: sorted(tuple(r) for r in w.cube.select("type", "page_id", "year", "weight").collect())
+    assert rows(opened) == rows(warehouse)
+
+
 def test_options():
     assert files.Options(lang="it").url() == "http://it.example.org"
     with pytest.raises(ValueError):

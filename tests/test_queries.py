@@ -26,3 +26,19 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_corpus_part(monkeypatch):
+    import importlib
+    import sys
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    try:
+        importlib.reload(entry)
+        assert set(entry.queries()) == set(registry.QUERIES)
+        assert set(entry.oracle_sql()) == set(registry.ORACLE_SQL)
+    finally:
+        monkeypatch.undo()
+        importlib.reload(entry)
