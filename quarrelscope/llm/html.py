@@ -36,7 +36,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SILENT_TAGS = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "textarea", "select", "title", "head", "button", "audio", "video")
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog".split())
 _BOILERPLATE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|sidebar|side|aside|footer|foot|header|masthead|topbar|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|comment|comments|reply|replies|respond|discussion|disqus|copyright|legal|disclaimer|toc|pagination|pager|tags|widget|skip|hidden|paywall|complementary|contentinfo|form)(?:$|[\s_-])",
+    r"(?<![^_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|menu|menubar|nav|navbar|navigation|breadcrumb|breadcrumbs|sidebar|side|aside|footer|foot|header|masthead|topbar|cookie|cookies|consent|gdpr|notice|notices|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|recommendations|comment|comments|reply|replies|respond|discussion|disqus|copyright|legal|disclaimer|toc|pagination|pager|tags|widget|skip|hidden|paywall|complementary|contentinfo|form)(?![^_-])",
     re.I,
 )
 #: Frequent function words of the four languages; they must hold for any text, so the list is short.
@@ -49,6 +49,8 @@ STOP_WORDS = frozenset(
 MIN_LONG, MIN_MIDDLE, STOP_LOW, MAX_LINKS = 200, 70, 0.05, 0.5
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S)
+#: A class like has-sidebar tells what stands beside.
+_BESIDE = re.compile(r"(?:has|with|no|without|is|show|js|wp)[_-]|.*[_-](?:with|has|no)[_-]", re.I)
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _GONE = re.compile(r"\bhidden(?=[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
@@ -78,7 +80,13 @@ def _boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in ("body", "html", "article", "main"):
         return False
     marks = " ".join(_CAMEL.sub("-", next(filter(None, m.groups()), "")) for m in _MARKS.finditer(attributes))
-    return bool(marks) and bool(_BOILERPLATE_WORDS.search(marks))
+    for mark in marks.split():
+        said = {w.lower() for w in _BOILERPLATE_WORDS.findall(mark)}
+        if inside_article:
+            said.discard("header")  # an article's own head
+        if said and not _BESIDE.match(mark):
+            return True
+    return False
 
 
 def blocks(page: str) -> list[Block]:

@@ -519,6 +519,7 @@ def test_html_rules():
     assert html.main_text(page) == "Title\nShort.\nA & B <tag> é\na b c d"
     long = "the words of a long text that is in the middle " * 8
     assert html.main_text(f"<div class=menu>m</div><h2>Head</h2><p>{long}</p><p>tail.</p><div class='reader-comments'><p>{long}</p></div>") == f"Head\n{long.strip()}\ntail."
+    assert html.main_text('<div class="page has-sidebar"><article><div class="article-header"><h1>A</h1></div><p>b</p><div class="adBox">buy</div><div class="post-comments">c</div><span class="notice">n</span></article></div>') == "A\nb"
     assert html.main_text("") == "" and html.main_text("<p") == "" and html.main_text("<script>var a = '<p>x</p>'") == ""
 
 
