@@ -73,6 +73,23 @@ def drop_written() -> None:
 atexit.register(drop_written)
 
 
+#: A key counts as hot with more than 1 / HOT_SHARE of the rows.
+HOT_SHARE = 1000
+
+
+def joined(rows: DataFrame, values: DataFrame, key: str, weight: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined with values (one for a key) on a key that may hold any share of the rows.
+
+    weight: the column of values with the key's rows; total: rows in all.  At most
+    HOT_SHARE keys have more than total / HOT_SHARE rows: their values are broadcast,
+    within that bound, and their rows stay where they are.  The others, none of which can
+    fill a task, meet by a shuffle.  The weight isn't returned.
+    """
+    hot = F.broadcast(values.where(F.col(weight) * HOT_SHARE > total).drop(weight))
+    rest = values.where(F.col(weight) * HOT_SHARE <= total).drop(weight)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key, how))
+
+
 def n_shards(df: DataFrame) -> int:
     """Tasks of a shuffle that a columnar exchange deals its shards over."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

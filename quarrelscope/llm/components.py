@@ -3,7 +3,7 @@
 Each step is one aggregation and one join over the links; steps read and write
 tables in the shared folder, so a lost executor costs no more than one step.  The
 links never meet in one task: a hub's links are partially aggregated before the
-shuffle, and its join is a plain equi-join that adaptive execution splits.
+shuffle, and it gets its least neighbour by a bounded broadcast.
 """
 
 from __future__ import annotations
@@ -16,13 +16,13 @@ from . import common
 MAX_STEPS = 60
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """links (a > b): one large-star or small-star step, giving links (a > b) again."""
+def _star(links: DataFrame, large: bool, total: int) -> DataFrame:
+    """links (a > b): one large-star or small-star step, giving links (a > b) again; total: about how many there are."""
     near = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         near = near.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    lowest = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = near.join(lowest, "u")
+    lowest = near.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", "n", F.least("u", "m").alias("m"))
+    joined = common.joined(near, lowest, "u", "n", total)
     if large:
         moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -42,11 +42,13 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = common.written(links, "links")
-    before = None
+    before = _sum(links)
     for _ in range(MAX_STEPS):
-        links = common.written(_star(_star(links, True), False), "links")
+        if before[0] == 0:
+            break
+        links = common.written(_star(common.written(_star(links, True, 2 * before[0]), "links"), False, before[0]), "links")
         now = _sum(links)
-        if now == before or now[0] == 0:
+        if now == before:
             break
         before = now
     else:

@@ -332,10 +332,10 @@ def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_
     # by class and document first, so that a line that stands everywhere is dealt over all tasks
     own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"))
     own = common.written(own, "line-owners")
-    whole = own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first")).where(F.col("n_docs") >= min_docs)
+    whole = common.written(own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first")).where(F.col("n_docs") >= min_docs), "line-wholes")
     first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first._h") == F.col("_h"))
     gone = F.when(F.col("first").isNull() | first, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).otherwise(F.col("lines"))
-    return own.join(whole, "class", "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"))
+    return common.joined(own, whole, "class", "n_docs", own.count(), "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"))
 
 
 def report(df: DataFrame) -> DataFrame:
