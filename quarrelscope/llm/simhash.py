@@ -203,15 +203,15 @@ def links(distinct: DataFrame, levels: int = 1, max_bits: int = MAX_BITS) -> Dat
 def grouped(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of df (doc_id, text)."""
     prints = common.written(fingerprints(common.documents(df), shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct-fingerprints")
     levels = 2 if distinct.count() >= TWO_LEVELS_FROM else 1
     roots = components(links(distinct, levels, max_bits)).withColumnsRenamed({"node": "fp"})
     # the smallest document of each component of fingerprints
     moved = distinct.join(roots, "fp")
     least = moved.groupBy("root").agg(F.min("least").alias("component_id"))
     named = common.written(moved.join(least, "root").select("fp", "component_id"), "groups")
-    label = distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id")
+    label = distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("component_id", "least").alias("component_id"))
+    return common.joined(prints, label, "fp", "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
 def report(df: DataFrame) -> DataFrame:
@@ -287,10 +287,10 @@ def wide_grouped(df: DataFrame, shingle: int = WIDE_SHINGLE, max_bits: int = WID
 
     prints = common.documents(df).select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp array<bigint>, keys array<bigint>")
     prints = common.written(prints, "fingerprints")
-    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys")), "distinct-fingerprints")
+    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"), F.count("*").alias("n")), "distinct-fingerprints")
     roots = components(wide_links(distinct, max_bits)).withColumnRenamed("root", "component_id")
-    label = distinct.join(roots, "node", "left").select("fp", F.coalesce("component_id", "node").alias("component_id"))
-    return prints.select("doc_id", "fp").join(label, "fp").select("doc_id", "component_id")
+    label = distinct.join(roots, "node", "left").select("fp", "n", F.coalesce("component_id", "node").alias("component_id"))
+    return common.joined(prints.select("doc_id", "fp"), label, "fp", "n", prints.count()).select("doc_id", "component_id")
 
 
 def kept(df: DataFrame, groups: DataFrame | None = None) -> DataFrame:
