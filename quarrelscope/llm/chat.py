@@ -9,9 +9,12 @@ it needs; arguments may also refer to one as {"$ref": id}) or a ``tool_call_id``
 2. Calls and results meet in a hash join on (conv_id, call_id): a result belongs to the
    latest call of its id that isn't later, else to the first later one.
 3. Events are ordered topologically: a result after its call, a call after the results
-   it depends on.  Levels are found round by round over all conversations at once; an
-   event's ``order_turn`` is the latest turn among itself and what it follows, so
-   (order_turn, level, turn, part) sorts a conversation.  Events on a cycle keep level -1.
+   it depends on.  Conversations of at most LOCAL_EDGES dependencies are each ordered
+   inside a task.  Of larger ones, runs of events that wait for one other event each are
+   contracted by pointer doubling, in a logarithmic number of rounds; what waits for
+   several is ordered round by round, until a round adds nothing.  An event's
+   ``order_turn`` is the latest turn among itself and what it follows, so (order_turn,
+   level, turn, part) sorts a conversation.  Events on a cycle, or after one, have level -1.
 4. Arguments are checked against the tool's JSON schema (type, properties, required,
    additionalProperties, enum, items, minimum, maximum).
 5. Each event is serialised as canonical JSON: sorted keys, no spaces, UTF-8.
@@ -33,7 +36,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-MAX_ROUNDS = 1000
+#: Conversations with more dependencies than this are ordered by all tasks together.
+LOCAL_EDGES = 20_000
+#: After so many rounds their results are written as one table.
+COMPACT = 16
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
@@ -156,27 +162,113 @@ def _links(tools: DataFrame) -> DataFrame:
     return best.select("conv_id", "call_id", "turn", "part", at["t"].alias("call_turn"), at["p"].alias("call_part"))
 
 
-def levels(tools: DataFrame, links: DataFrame) -> DataFrame:
-    """(conv_id, turn, part, level, order_turn) of each call and result; level -1 on a cycle."""
+def _ordered(edges: list[tuple]) -> list[tuple]:
+    """(turn, part, level, order_turn) of each event that waits, from (turn, part, from_turn, from_part) of one conversation."""
+    after: dict[tuple, list] = {}
+    open_: dict[tuple, int] = {}
+    for turn, part, from_turn, from_part in edges:
+        after.setdefault((from_turn, from_part), []).append((turn, part))
+        open_[turn, part] = open_.get((turn, part), 0) + 1
+    place = {x: (-1, x[0]) for x in open_}
+    ready = [(x, 0, x[0]) for x in after if x not in open_]
+    best = {x: (0, x[0]) for x in open_}
+    while ready:
+        x, level, latest = ready.pop()
+        for y in after.get(x, ()):
+            best[y] = max(best[y][0], level + 1), max(best[y][1], latest)
+            open_[y] -= 1
+            if not open_[y]:
+                place[y] = best[y]
+                ready.append((y, *best[y]))
+    return [(*x, *at) for x, at in place.items()]
+
+
+_PLACES = "conv_id bigint, turn bigint, part int, level bigint, order_turn bigint"
+
+
+def _local_levels(edges: DataFrame) -> DataFrame:
+    """_PLACES of the events that wait; each conversation's edges meet in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("part", pa.int32()), ("level", pa.int64()), ("order_turn", pa.int64())])
+        rows: list[tuple] = []
+        for conv, own in common.row_groups(batches, "conv_id"):
+            found = _ordered([e for b in own for e in zip(*(b.column(k).to_pylist() for k in range(1, 5)))])
+            rows += [(int(conv), *x) for x in found]
+            if len(rows) >= 4096:
+                yield common.batch(schema, *zip(*rows))
+                rows = []
+        if rows:
+            yield common.batch(schema, *zip(*rows))
+
+    dealt = edges.select("conv_id", "turn", "part", "from_turn", "from_part").repartition(common.n_shards(edges), "conv_id").sortWithinPartitions("conv_id")
+    return dealt.mapInArrow(run, _PLACES)
+
+
+def _shared_levels(edges: DataFrame) -> DataFrame:
+    """_PLACES of the events that wait, for conversations of any size."""
+    node, source = ["conv_id", "turn", "part"], ["conv_id", "from_turn", "from_part"]
+    as_source = lambda df, *more: df.select("conv_id", F.col("turn").alias("from_turn"), F.col("part").alias("from_part"), *more)
+    waits = common.written(edges.groupBy(*node).agg(F.count("*").alias("n"), F.min("from_turn").alias("from_turn"), F.min("from_part").alias("from_part")), "chat-waits")
+    # runs of events that wait for one: where the run starts, how many steps on, the latest turn from there
+    runs = common.written(waits.where("n = 1").select(*node, "from_turn", "from_part", F.lit(1).cast("bigint").alias("steps"), F.greatest("turn", "from_turn").alias("latest")), "chat-runs")
+    alone = as_source(runs)
+    for _ in range(runs.count().bit_length()):
+        if runs.join(alone, source, "left_semi").isEmpty():
+            break
+        on = as_source(runs, F.col("from_turn").alias("_turn"), F.col("from_part").alias("_part"), F.col("steps").alias("_steps"), F.col("latest").alias("_latest"))
+        more = F.col("_steps").isNotNull()
+        runs = common.written(
+            runs.join(on, source, "left").select(
+                *node, F.when(more, F.col("_turn")).otherwise(F.col("from_turn")).alias("from_turn"), F.when(more, F.col("_part")).otherwise(F.col("from_part")).alias("from_part"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.greatest("latest", "_latest").alias("latest")
+            ),
+            "chat-runs",
+        )
+    # a run that still leads into a run goes round; nothing is ever known of its start
+    joints = edges.join(waits.where("n > 1").select(*node), node, "left_semi").select(*node, "from_turn", "from_part")
+    start = as_source(runs, F.col("from_turn").alias("_turn"), F.col("from_part").alias("_part"), F.col("steps").alias("_steps"), F.col("latest").alias("_latest"))
+    more = F.col("_steps").isNotNull()
+    left = joints.join(start, source, "left").select(
+        *node, F.when(more, F.col("_turn")).otherwise(F.col("from_turn")).alias("from_turn"), F.when(more, F.col("_part")).otherwise(F.col("from_part")).alias("from_part"), (F.coalesce("_steps", F.lit(0)) + 1).alias("steps"), F.greatest("turn", "from_turn", "_latest").alias("latest")
+    )
+    left = common.written(left.withColumn("level", F.lit(None).cast("bigint")), "chat-left")
+    first = edges.select(*source).distinct().join(as_source(waits), source, "left_anti")
+    known = common.written(first.select("conv_id", F.col("from_turn").alias("turn"), F.col("from_part").alias("part"), F.lit(0).cast("bigint").alias("level"), F.col("from_turn").alias("order_turn")), "chat-levels")
+    done, n = known, 0
+    while not known.isEmpty() and not left.isEmpty():
+        got = as_source(known, F.col("level").alias("_level"), F.col("order_turn").alias("_order"))
+        met = left.join(got, source, "left").select(*node, "from_turn", "from_part", "steps", F.greatest("latest", "_order").alias("latest"), F.coalesce("level", F.col("_level") + F.col("steps")).alias("level"))
+        met = common.written(met, "chat-left")
+        ready = met.groupBy(*node).agg(F.count_if(F.col("level").isNull()).alias("open"), F.max("level").alias("level"), F.max("latest").alias("order_turn"))
+        known = common.written(ready.where("open = 0").select(*node, "level", "order_turn"), "chat-levels")
+        left = common.written(met.join(known.select(*node), node, "left_anti"), "chat-left")
+        done, n = done.unionByName(known), n + 1
+        if n % COMPACT == 0:
+            done = common.written(done, "chat-done")
+    done = common.written(done, "chat-done")
+    start = as_source(done, F.col("level").alias("_level"), F.col("order_turn").alias("_order"))
+    known_start = F.col("_level").isNotNull()
+    of_runs = runs.join(start, source, "left").select(*node, F.when(known_start, F.col("_level") + F.col("steps")).otherwise(-1).alias("level"), F.when(known_start, F.greatest("latest", "_order")).otherwise(F.col("turn")).alias("order_turn"))
+    of_joints = waits.where("n > 1").select(*node).join(done, node, "left").select(*node, F.coalesce("level", F.lit(-1)).alias("level"), F.coalesce("order_turn", "turn").alias("order_turn"))
+    return of_runs.unionByName(of_joints)
+
+
+def levels(tools: DataFrame, links: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """(conv_id, turn, part, level, order_turn) of each call and result; level -1 on a cycle or after one."""
     node = ["conv_id", "turn", "part"]
     after = links.select("conv_id", "turn", "part", F.col("call_turn").alias("from_turn"), F.col("call_part").alias("from_part"))
     first = links.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "part")).alias("r"))
     needs = tools.where("kind = 'call'").select(*node, F.explode("depends_on").alias("call_id")).join(first, ["conv_id", "call_id"])
-    edges = common.written(after.unionByName(needs.select(*node, F.col("r.turn").alias("from_turn"), F.col("r.part").alias("from_part"))).distinct(), "chat-edges")
-    left = tools.select(*node).distinct()
-    blocked = edges.select(*node).distinct()
-    known = common.written(left.join(blocked, node, "left_anti").select(*node, F.lit(0).alias("level"), F.col("turn").alias("order_turn")), "chat-levels")
-    waiting = common.written(left.join(blocked, node, "left_semi"), "chat-waiting")
-    done = known
-    for _ in range(MAX_ROUNDS):
-        if waiting.isEmpty() or known.isEmpty():
-            break
-        seen = done.select("conv_id", F.col("turn").alias("from_turn"), F.col("part").alias("from_part"), "level", "order_turn")
-        got = edges.join(waiting, node, "left_semi").join(seen, ["conv_id", "from_turn", "from_part"], "left").groupBy(*node).agg(F.max(F.col("level").isNull()).alias("open"), F.max("level").alias("level"), F.max("order_turn").alias("order_turn"))
-        known = common.written(got.where("not open").select(*node, (F.col("level") + 1).cast("int").alias("level"), F.greatest("order_turn", "turn").alias("order_turn")), "chat-levels")
-        waiting = common.written(waiting.join(known, node, "left_anti"), "chat-waiting")
-        done = done.unionByName(known)
-    return done.unionByName(waiting.select(*node, F.lit(-1).alias("level"), F.col("turn").alias("order_turn")))
+    edges = after.unionByName(needs.select(*node, F.col("r.turn").alias("from_turn"), F.col("r.part").alias("from_part"))).where("turn is not null and from_turn is not null")
+    edges = common.written(edges.distinct(), "chat-edges")
+    large = common.written(edges.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > local_edges).select("conv_id"), "chat-large")
+    if large.isEmpty():
+        places = _local_levels(edges)
+    else:  # one in LOCAL_EDGES edges, at most, is a large conversation
+        large = F.broadcast(large)
+        places = _local_levels(edges.join(large, "conv_id", "left_anti")).unionByName(_shared_levels(common.written(edges.join(large, "conv_id", "left_semi"), "chat-edges")))
+    found = tools.select(*node).distinct().join(places, node, "left")
+    return found.select(*node, F.coalesce("level", F.lit(0)).cast("int").alias("level"), F.coalesce("order_turn", "turn").alias("order_turn"))
 
 
 def linked(messages: DataFrame, schemas: dict | None = None) -> DataFrame:

@@ -209,6 +209,53 @@ def test_chat_query_equals_brute_force(spark):
     assert sorted((r.conv_id, r.turn, r.json) for r in queries.op3_chat(spark, SF).collect()) == want
 
 
+def _levels_brute(edges):
+    """{event: (level, order_turn)} by repeated passes; events that never settle have level -1."""
+    nodes = {x for e in edges for x in e}
+    into = {x: [a for b, a in edges if b == x] for x in nodes}
+    at, moved = {}, True
+    while moved:
+        moved = False
+        for x in nodes - set(at):
+            if all(a in at for a in into[x]):
+                at[x] = max([at[a][0] + 1 for a in into[x]], default=0), max([at[a][1] for a in into[x]] + [x[0]])
+                moved = True
+    return {x: at.get(x, (-1, x[0])) for x in nodes}
+
+
+def test_chat_orders_chains_of_any_length(spark):
+    n = 1100
+    rows = []
+    for k in range(n):
+        call = {"id": f"c{k}", "name": "f", "arguments": {}, "depends_on": [f"c{k - 1}"] if k else []}
+        rows += [(1, 2 * k, "assistant", chat.canonical({"tool_calls": [call]})), (1, 2 * k + 1, "tool", chat.canonical({"tool_call_id": f"c{k}", "content": 0}))]
+    every = chat.parsed(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {"f": {}})
+    tools = every.where("kind != 'message'").persist()
+    links = chat._links(tools).persist()
+    for local in (chat.LOCAL_EDGES, 0):
+        got = {r.turn: r.level for r in chat.levels(tools, links, local).collect()}
+        assert got == {k: k for k in range(2 * n)}, local
+
+
+def test_chat_levels_equal_brute_force(spark):
+    random.seed(12)
+    rows, want = [], {}
+    for conv in range(12):
+        places = [(t, p) for t in range(9) for p in range(2)]
+        edges = set()
+        for k, x in enumerate(places):
+            back = conv % 3 == 0 and random.random() < 0.1
+            for _ in range(random.choice([0, 1, 1, 1, 2, 3])):
+                edges.add((x, random.choice(places if back else places[:k] or [(8, 1)])))
+        edges = {(b, a) for b, a in edges if a != b}
+        rows += [(conv, *b, *a) for b, a in edges]
+        want |= {(conv, *x): at for x, at in _levels_brute(edges).items() if any(b == x for b, _ in edges)}
+    df = spark.createDataFrame(rows, "conv_id long, turn long, part int, from_turn long, from_part int")
+    assert any(level < 0 for level, _ in want.values()) and max(level for level, _ in want.values()) > 4
+    for way in (chat._local_levels, chat._shared_levels):
+        assert {(r.conv_id, r.turn, r.part): (r.level, r.order_turn) for r in way(df).collect()} == want
+
+
 # 4
 
 
