@@ -291,3 +291,33 @@ def linked(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
 def report(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
     """The events with flat columns."""
     return linked(messages, schemas).select("conv_id", "turn", "part", "role", "kind", "call_id", "level", "order_turn", "linked_turn", "valid", F.size("errors").alias("n_errors"), "json")
+
+
+#: The catalogue for :func:`with_calls`.
+TOOLS = {
+    "measure": {
+        "type": "object",
+        "properties": {"text": {"type": "string"}, "role": {"type": "string", "enum": ["user", "assistant"]}, "turn": {"type": "integer", "minimum": 0}, "last": {"type": "integer"}},
+        "required": ["text", "turn"],
+        "additionalProperties": False,
+    }
+}
+
+
+def with_calls(messages: DataFrame) -> DataFrame:
+    """Every message, a call that measures it (a call of TOOLS), and that call's result.
+
+    The message of turn t moves to turn 4t and its call to 4t + 1; a call needs the result
+    of the turn before, and refers to it.  Results of even turns come at 4t + 2, those of
+    odd turns late, at 4t + 7, after the next call.  Arguments of other roles than user and assistant break the schema.
+    """
+    t = F.col("turn").cast("bigint")
+    own, last = F.concat(F.lit("c"), t.cast("string")), F.concat(F.lit("c"), (t - 1).cast("string"))
+    ref = F.when(t > 0, F.create_map(F.lit("$ref"), last))
+    arguments = F.struct("text", "role", t.alias("turn"), ref.alias("last"))
+    call = F.to_json(F.struct(F.array(F.struct(own.alias("id"), F.lit("measure").alias("name"), arguments.alias("arguments"), F.when(t > 0, F.array(last)).alias("depends_on"))).alias("tool_calls")))
+    result = F.to_json(F.struct(own.alias("tool_call_id"), F.length("text").alias("content")))
+    row = lambda turn, role, text: F.struct(turn.alias("turn"), role.cast("string").alias("role"), text.cast("string").alias("text"))
+    late = F.when(t % 2 == 1, 5).otherwise(0)
+    three = F.array(row(4 * t, F.col("role"), F.col("text")), row(4 * t + 1, F.lit("assistant"), call), row(4 * t + 2 + late, F.lit("tool"), result))
+    return messages.select("conv_id", F.explode(three).alias("m")).select("conv_id", "m.*")

@@ -22,6 +22,11 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.report(common.read(spark, sf_dir, "conversations"))
 
 
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations hold no tool calls; here every row has one, with its result and the turn before to wait for."""
+    return chat.report(chat.with_calls(common.read(spark, sf_dir, "conversations")), chat.TOOLS)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(common.read(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
     "op3_chat": op3_chat,
+    "op3_tool_calls": op3_tool_calls,
     "op4_line_dedup": op4_line_dedup,
     "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,

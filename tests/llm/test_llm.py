@@ -256,6 +256,27 @@ def test_chat_levels_equal_brute_force(spark):
         assert {(r.conv_id, r.turn, r.part): (r.level, r.order_turn) for r in way(df).collect()} == want
 
 
+def test_tool_call_query_links_orders_and_validates_every_row(spark):
+    rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
+    got = {(r.conv_id, r.turn, r.part): r for r in queries.op3_tool_calls(spark, SF).collect()}
+    turns = collections.defaultdict(set)
+    for r in rows:
+        turns[r.conv_id].add(r.turn)
+    late = lambda t: 4 * t + 2 + (5 if t % 2 else 0)
+    assert len(got) == 4 * len(rows)  # a message, a call's message, the call, its result
+    for r in rows:
+        call, result = got[r.conv_id, 4 * r.turn + 1, 1], got[r.conv_id, late(r.turn), 0]
+        run = 0
+        while r.turn - run - 1 in turns[r.conv_id]:
+            run += 1
+        before = [late(t) for t in range(r.turn - run, r.turn)]
+        assert (call.level, result.level) == (2 * run, 2 * run + 1)
+        assert call.order_turn == max([call.turn, *before]) and result.order_turn == max([result.turn, *before])
+        assert (call.linked_turn, result.linked_turn) == (result.turn, call.turn)
+        assert call.valid == (r.role in ("user", "assistant")) and result.valid
+    assert any(not r.valid for r in got.values()) and any(r.level > 4 for r in got.values())
+
+
 # 4
 
 
