@@ -26,9 +26,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near-duplicates the document of smallest id.
 
     Groups are those of the wide fingerprints: shingles of five words, similarity of
-    about 0.8 or more.
+    about 0.8 or more.  They are made of the whole texts, as the quality rules kept them:
+    line dedup cuts the common lines of a group from all but its first document, and what
+    is left of the others resembles it no more.
     """
-    return simhash.kept(docs, simhash.wide_grouped(docs))
+    whole = quality_rules(spark, common.read(spark, sf_dir, "documents"), sf_dir)
+    return simhash.kept(docs, simhash.wide_grouped(whole))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,17 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert whole == seen["packing"]
 
 
+def test_near_copies_of_a_large_group_are_caught_whole(spark, tmp_path):
+    """Every copy has its own edited line; line dedup leaves it little else."""
+    body = [_words(30, f"line {k}") for k in range(9)]
+    copies = [[_words(6, f"edit {i}") + x[25:] if k == i else x for k, x in enumerate(body)] for i in range(9)]
+    texts = ["\n".join(x) for x in [*copies, [_words(30, f"other {k}") for k in range(9)]]]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, _words(40, "leak"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 9}
+
+
 def test_license_query_equals_its_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = connect(sf)
