@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; lines that repeat in one document or are boilerplate of many are cut from later ones."""
+    """All documents; lines that repeat in one document or, as lines.py tells, in several are cut from later ones."""
     return lines.cleaned(docs)
 
 

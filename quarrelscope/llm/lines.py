@@ -11,8 +11,9 @@ lines themselves.  Linked lines form classes (connected components); shorter lin
 and lines without a link are classes of their own, by equality.
 
 Removed are, of each class, the later lines of one document, and, when the class
-stands in at least MIN_DOCS documents, all lines in documents but the first.  Blank
-lines always stay.
+stands in several documents, all lines in documents but the first: in two or more for
+lines of MIN_CHARS or more, in at least MIN_DOCS for shorter ones.  Blank lines always
+stay.
 
 Nothing is capped: a frequent segment's lines are sorted by signature and compared in
 blocks.  Copies of a line count once before the shuffle.
@@ -298,20 +299,20 @@ def verified(docs: DataFrame, pairs: DataFrame, k: int = MAX_EDITS, min_chars: i
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(full, doc_id, _h, line_no) of every line that isn't blank; line numbers from 0."""
+    """(full, doc_id, _h, line_no, size) of every line that isn't blank; line numbers from 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("full", pa.binary()), ("doc_id", pa.int64()), ("_h", pa.int64()), ("line_no", pa.int32())])
+        schema = pa.schema([("full", pa.binary()), ("doc_id", pa.int64()), ("_h", pa.int64()), ("line_no", pa.int32()), ("size", pa.int32())])
         for b in common.small(batches, 2048):
             rows = []
             for doc_id, text, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 for n, line in enumerate(text.split("\n")):
                     if line.strip():
-                        rows.append((_line_id(line), doc_id, h, n))
+                        rows.append((_line_id(line), doc_id, h, n, len(line)))
             if rows:
                 yield common.batch(schema, *zip(*rows))
 
-    return docs.select("doc_id", "text", "_h").mapInArrow(run, "full binary, doc_id bigint, _h bigint, line_no int")
+    return docs.select("doc_id", "text", "_h").mapInArrow(run, "full binary, doc_id bigint, _h bigint, line_no int, size int")
 
 
 def classes(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
@@ -328,11 +329,11 @@ def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_
     """(doc_id, _h, n_classes, n_linked, n_links, removed): for each document with lines; removed lists line numbers, rising."""
     docs = common.documents(df)
     linked, _ = classes(df, k, min_chars)
-    occ = occurrences(docs).join(linked, "full", "left").select(F.coalesce("root", "full").alias("class"), "doc_id", "_h", "line_no", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    occ = occurrences(docs).join(linked, "full", "left").select(F.coalesce("root", "full").alias("class"), "doc_id", "_h", "line_no", "size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     # by class and document first, so that a line that stands everywhere is dealt over all tasks
-    own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"))
+    own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"), F.max("size").alias("size"))
     own = common.written(own, "line-owners")
-    whole = common.written(own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first")).where(F.col("n_docs") >= min_docs), "line-wholes")
+    whole = common.written(own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first"), F.max("size").alias("size")).where(F.col("n_docs") >= F.when(F.col("size") >= min_chars, 2).otherwise(min_docs)).drop("size"), "line-wholes")
     first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first._h") == F.col("_h"))
     gone = F.when(F.col("first").isNull() | first, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).otherwise(F.col("lines"))
     return common.joined(own, whole, "class", "n_docs", own.count(), "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"))

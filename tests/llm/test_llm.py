@@ -337,6 +337,15 @@ def test_line_removal(spark):
     assert out[0][0] == texts[0] and out[1] == (own[1] + "\n", len(own[1]) + 1) and out[7][0] == f"{own[7]}\n\nx"
 
 
+def test_long_lines_of_few_documents_are_removed(spark):
+    own = [f"Only document number {i * 7919} says this line of text" * 2 for i in range(5)]
+    passage = " ".join(f"word{k}" for k in range(60))
+    near = passage.replace("word30", "word31")
+    texts = [f"{own[0]}\n{passage}\nshort", f"{passage}\n{own[1]}\nshort", f"{own[2]}\n{near}\nshort", f"{own[3]}\nshort", own[4]]
+    got = {r.doc_id: r.removed for r in lines.report(frame(spark, texts)).collect()}
+    assert got == {0: [], 1: [0], 2: [1], 3: [], 4: []}
+
+
 # 5
 
 
