@@ -325,27 +325,41 @@ def classes(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> tu
     return common.written(roots.join(n, "full"), "line-classes"), linked
 
 
-def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, _h, n_classes, n_linked, n_links, removed): for each document with lines; removed lists line numbers, rising."""
+def _members():
+    """All (line_no, class, n_links) of a document, from its rows (class, marks)."""
+    own = F.collect_list(F.struct("class", "marks"))
+    return F.sort_array(F.flatten(F.transform(own, lambda c: F.transform(c["marks"], lambda m: F.struct(m["line_no"].alias("line_no"), c["class"].alias("class"), m["n_links"].alias("n_links"))))))
+
+
+def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, members: bool = False) -> DataFrame:
+    """(doc_id, _h, n_classes, n_linked, n_links, removed): for each document with lines; removed lists line numbers, rising.
+
+    members: adds classes, the (line_no, class, n_links) of every line that isn't blank, by line number.
+    """
     docs = common.documents(df)
     linked, _ = classes(df, k, min_chars)
     occ = occurrences(docs).join(linked, "full", "left").select(F.coalesce("root", "full").alias("class"), "doc_id", "_h", "line_no", "size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     # by class and document first, so that a line that stands everywhere is dealt over all tasks
-    own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"), F.max("size").alias("size"))
+    own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"), F.max("size").alias("size"), *([F.collect_set(F.struct("line_no", "n_links")).alias("marks")] if members else []))
     own = common.written(own, "line-owners")
     whole = common.written(own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first"), F.max("size").alias("size")).where(F.col("n_docs") >= F.when(F.col("size") >= min_chars, 2).otherwise(min_docs)).drop("size"), "line-wholes")
     first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first._h") == F.col("_h"))
     gone = F.when(F.col("first").isNull() | first, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).otherwise(F.col("lines"))
-    return common.joined(own, whole, "class", "n_docs", own.count(), "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"))
+    return common.joined(own, whole, "class", "n_docs", own.count(), "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"), *([_members().alias("classes")] if members else []))
 
 
 def report(df: DataFrame) -> DataFrame:
-    """One row a document: its lines, classes of lines, linked lines and their links, and the removed line numbers."""
+    """One row a document: its lines, classes of lines, linked lines and their links, the removed line numbers, and each line's class.
+
+    classes: for every line that isn't blank its number, the id of its class (32 hex digits: the
+    line hash of the class's representative) and the number of distinct lines it links to.
+    """
     n_lines = F.size(F.split("text", "\n", -1)).cast("bigint").alias("n_lines")
     every = common.documents(df).select("doc_id", "_h", n_lines)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    return every.join(removals(df), ["doc_id", "_h"], "left").select(common.public_id(), "n_lines", zero("n_classes"), zero("n_linked"), zero("n_links"), F.size(removed).cast("bigint").alias("n_removed"), removed.alias("removed"))
+    classes_ = F.transform(F.coalesce("classes", F.array().cast("array<struct<line_no:int,class:binary,n_links:bigint>>")), lambda m: F.struct(m["line_no"].alias("line_no"), F.lower(F.hex(m["class"])).alias("class"), m["n_links"].alias("n_links")))
+    return every.join(removals(df, members=True), ["doc_id", "_h"], "left").select(common.public_id(), "n_lines", zero("n_classes"), zero("n_linked"), zero("n_links"), F.size(removed).cast("bigint").alias("n_removed"), removed.alias("removed"), classes_.alias("classes"))
 
 
 def cleaned(df: DataFrame, **options) -> DataFrame:

@@ -346,6 +346,15 @@ def test_long_lines_of_few_documents_are_removed(spark):
     assert got == {0: [], 1: [0], 2: [1], 3: [], 4: []}
 
 
+def test_line_report_tells_every_line_its_class(spark):
+    one, near, alone = "This is a notice line number 1", "This is a notice line number 2", "A line of its own that is nowhere else"
+    df = frame(spark, [f"{one}\n\nshort\n{near}", f"short\n{alone}\n{near}\n{near}", None])
+    got = {r.doc_id: [tuple(x) for x in r.classes] for r in lines.report(df).collect()}
+    name = {x: lines._line_id(x).hex() for x in (one, near, alone, "short")}
+    both = min(name[one], name[near])
+    assert got == {0: [(0, both, 1), (2, name["short"], 0), (3, both, 1)], 1: [(0, name["short"], 0), (1, name[alone], 0), (2, both, 1), (3, both, 1)], 2: []}
+
+
 # 5
 
 
