@@ -39,6 +39,15 @@ def public_id(name: str = "doc_id"):
     return F.when(F.col(name) != F.lit(NULL_ID), F.col(name)).alias(name)
 
 
+def identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, _h): each row of df as one struct, beside its identity as in :func:`documents`.
+
+    Nothing of df stands at the top level, so no column of it can clash; select("row.*") gives it back.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return df.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("_h"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where it is unset (tests), a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -90,6 +99,24 @@ def joined(rows: DataFrame, values: DataFrame, key: str, weight: str, total: int
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key, how))
 
 
+def bounded_groups(rows: DataFrame, key: str, item: str, size: int) -> DataFrame:
+    """rows with ``task``: a group of at most size rows is one task's; of a larger one every two blocks meet in a task of their own.
+
+    key: a bigint column; item: what a row's block is chosen by.  All pairs of a group meet, and no
+    task's group has more than about twice size rows.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > size)
+    counts = written(counts.withColumn("blocks", F.ceil(F.col("n") / size).cast("int")), "large-groups")
+    if counts.isEmpty():
+        return rows.withColumn("task", F.col(key))
+    dealt_ = joined(rows, counts, key, "n", rows.count(), "left").withColumn("block", F.pmod(F.xxhash64(item), F.coalesce("blocks", F.lit(1)).cast("bigint")))
+    others = F.sequence(F.lit(0).cast("bigint"), (F.coalesce("blocks", F.lit(1)) - 1).cast("bigint"))
+    meets = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.filter(others, lambda x: x != F.col("block")))
+    out = dealt_.withColumn("other", F.explode(meets))
+    task = F.when(F.col("blocks").isNull(), F.col(key)).otherwise(F.xxhash64(key, F.least("block", "other"), F.greatest("block", "other")))
+    return out.withColumn("task", task).drop("blocks", "block", "other")
+
+
 def n_shards(df: DataFrame) -> int:
     """Tasks of a shuffle that a columnar exchange deals its shards over."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

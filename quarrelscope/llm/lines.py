@@ -199,7 +199,7 @@ def candidates(docs: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("shard", pa.int32()), ("n", pa.int32()), ("rows", pa.binary())])
-        seen: set[bytes] = set()
+        seen: set[bytes] = set()  # by the whole id; lines that share its beginning both post
         held, rows = [], 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
@@ -218,13 +218,13 @@ def candidates(docs: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS)
             for text in b.column(0).to_pylist():
                 for line in text.split("\n"):
                     if len(line) >= min_chars:
-                        x = _line_id(line)[:8]
+                        x = _line_id(line)
                         if x not in seen:
                             if len(seen) >= SEEN:
                                 seen.clear()
                             seen.add(x)
                             new.append(line)
-                            ids.append(x)
+                            ids.append(x[:8])
             if new:
                 key, who, role, sig = postings(new, k, min_chars)
                 held.append((key, np.frombuffer(b"".join(ids), "<i8")[who], role, sig[who]))
@@ -331,19 +331,27 @@ def _members():
     return F.sort_array(F.flatten(F.transform(own, lambda c: F.transform(c["marks"], lambda m: F.struct(m["line_no"].alias("line_no"), c["class"].alias("class"), m["n_links"].alias("n_links"))))))
 
 
-def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, members: bool = False) -> DataFrame:
+def removals(df: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, members: bool = False, groups: DataFrame | None = None) -> DataFrame:
     """(doc_id, _h, n_classes, n_linked, n_links, removed): for each document with lines; removed lists line numbers, rising.
 
     members: adds classes, the (line_no, class, n_links) of every line that isn't blank, by line number.
+    groups: (doc_id, _h, lead) of near-duplicate documents; a line stays where the first
+    document of its class is of the same group, so that the copies of a document all lose
+    the same lines and stay copies of each other.
     """
     docs = common.documents(df)
     linked, _ = classes(df, k, min_chars)
     occ = occurrences(docs).join(linked, "full", "left").select(F.coalesce("root", "full").alias("class"), "doc_id", "_h", "line_no", "size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     # by class and document first, so that a line that stands everywhere is dealt over all tasks
     own = occ.groupBy("class", "doc_id", "_h").agg(F.sort_array(F.collect_set("line_no")).alias("lines"), F.sum("n_links").alias("n_links"), F.count_if(F.col("n_links") > 0).alias("n_linked"), F.max("size").alias("size"), *([F.collect_set(F.struct("line_no", "n_links")).alias("marks")] if members else []))
+    if groups is None:
+        own = own.withColumn("lead", F.struct("doc_id", "_h"))
+    else:
+        own = own.join(groups.select("doc_id", "_h", "lead").distinct(), ["doc_id", "_h"])
     own = common.written(own, "line-owners")
-    whole = common.written(own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h")).alias("first"), F.max("size").alias("size")).where(F.col("n_docs") >= F.when(F.col("size") >= min_chars, 2).otherwise(min_docs)).drop("size"), "line-wholes")
-    first = (F.col("first.doc_id") == F.col("doc_id")) & (F.col("first._h") == F.col("_h"))
+    whole = own.groupBy("class").agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "_h", "lead")).alias("first"), F.max("size").alias("size"))
+    whole = common.written(whole.where(F.col("n_docs") >= F.when(F.col("size") >= min_chars, 2).otherwise(min_docs)).drop("size"), "line-wholes")
+    first = (F.col("first.lead") == F.col("lead"))
     gone = F.when(F.col("first").isNull() | first, F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).otherwise(F.col("lines"))
     return common.joined(own, whole, "class", "n_docs", own.count(), "left").withColumn("gone", gone).groupBy("doc_id", "_h").agg(F.count("*").alias("n_classes"), F.sum("n_linked").alias("n_linked"), F.sum("n_links").alias("n_links"), F.sort_array(F.flatten(F.collect_list("gone"))).alias("removed"), *([_members().alias("classes")] if members else []))
 
@@ -363,11 +371,14 @@ def report(df: DataFrame) -> DataFrame:
 
 
 def cleaned(df: DataFrame, **options) -> DataFrame:
-    """df with the removed lines cut out of text; other columns stay, n_chars follows the text."""
-    gone = removals(df, **options).where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("_h"), F.col("removed").alias("_gone"))
-    named = df.withColumns({"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)), "_h": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    out = named.join(gone, ["_id", "_h"], "left").withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
+    """df with the removed lines cut out of text; other columns stay, n_chars follows the text where there is such a column."""
+    gone = removals(df, **options).where(F.size("removed") > 0).select("doc_id", "_h", "removed")
+    split = common.identified(df).join(gone, ["doc_id", "_h"], "left").withColumn("lines", F.when(F.col("removed").isNotNull(), F.split(F.col("row.text"), "\n", -1)))
+    # the runs of lines between the removed ones
+    begins = F.concat(F.array(F.lit(0)), F.transform("removed", lambda n: n + 1))
+    ends = F.concat("removed", F.array(F.size("lines")))
+    left = F.array_join(F.flatten(F.zip_with(begins, ends, lambda s, e: F.slice("lines", s + 1, e - s))), "\n")
+    cut = F.col("row").withField("text", left)
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(df.schema["n_chars"].dataType)))
-    return out.select(*df.columns)
+        cut = cut.withField("n_chars", F.length(left).cast(df.schema["n_chars"].dataType))
+    return split.select(F.when(F.col("removed").isNull(), F.col("row")).otherwise(cut).alias("row")).select("row.*")

@@ -40,6 +40,8 @@ PIVOTS = 24
 TWO_LEVELS_FROM = 2_000_000
 _PIVOTS = np.random.default_rng(8).integers(0, 2**63, PIVOTS, dtype=np.uint64) * np.uint64(2) + np.random.default_rng(80).integers(0, 2, PIVOTS, dtype=np.uint64)
 WINDOW_PAIRS = 1 << 20
+#: A bucket of more fingerprints is cut into blocks, of which every two meet in a task of their own.
+BUCKET = 4096
 
 
 def shingle_hashes(text: str, shingle: int) -> np.ndarray:
@@ -131,34 +133,50 @@ class Forest:
             self.up[max(x, y)] = min(x, y)
 
 
-def bucket_links(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """A forest of the links among a bucket's distinct fingerprints: (fingerprint, root)."""
-    n = len(fp)
-    table = pivot_table(fp)
-    order = np.argsort(table[:, 0], kind="stable")
-    fp, table = fp[order], table[order].astype(np.int16)
-    ends = np.searchsorted(table[:, 0], table[:, 0] + max_bits, "right")
-    trees, at = Forest(n), 0
-    width = ends - np.arange(n) - 1
+def _pairs_near(table: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (x < y) of a pivot table, sorted by its first column, that no column tells more than max_bits apart."""
+    n, at = len(table), 0
+    width = np.searchsorted(table[:, 0], table[:, 0] + max_bits, "right") - np.arange(n) - 1
+    until = np.cumsum(width)
     while at < n:
-        upto = at + max(1, int(np.searchsorted(np.cumsum(width[at:]), WINDOW_PAIRS, "right")))
+        upto = min(n, max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + WINDOW_PAIRS, "right"))))
         w = width[at:upto]
-        x = np.repeat(np.arange(at, min(upto, n)), w)
+        x = np.repeat(np.arange(at, upto), w)
         y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(w) - w, w)
-        for k in range(1, PIVOTS):
+        for k in range(1, table.shape[1]):
             if not len(x):
                 break
             near = np.abs(table[x, k] - table[y, k]) <= max_bits
             x, y = x[near], y[near]
+        yield x, y
+        at = upto
+
+
+def bucket_links(fp: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the links among a bucket's distinct fingerprints: (fingerprint, root)."""
+    n = len(fp)
+    table = pivot_table(fp)
+    order = np.argsort(table[:, 0], kind="stable")
+    fp, table = fp[order], table[order].astype(np.int16)
+    trees = Forest(n)
+    for x, y in _pairs_near(table, max_bits):
         close = np.bitwise_count(fp[x] ^ fp[y]) <= max_bits
         for p, q in zip(x[close].tolist(), y[close].tolist()):
             trees.join(p, q)
-        at = upto
     root = np.array([trees.root(k) for k in range(n)])
     moved = np.flatnonzero(root != np.arange(n))
     return fp[moved], fp[root[moved]]
 
 
+def _met(batches: Iterator[pa.RecordBatch], solve, empty) -> Iterator:
+    """solve(items) for each task's group of two distinct items or more, from batches (task, item) sorted by task."""
+    for _, parts in common.row_groups(batches, "task"):
+        if sum(b.num_rows for b in parts) > 1:
+            items = empty(parts)
+            if len(items) > 1:
+                yield solve(items)
+
+
 def links(distinct: DataFrame, levels: int = 1, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) among distinct fingerprints (column fp) whose components are those of all links."""
 
@@ -171,33 +189,20 @@ def links(distinct: DataFrame, levels: int = 1, max_bits: int = MAX_BITS) -> Dat
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        held: list[np.ndarray] = []  # the bucket that the last batch may go on with
-        key = None
+        prints = lambda parts: np.unique(np.concatenate([b.column(1).to_numpy() for b in parts])).view(np.uint64)
+        for a, b in _met(batches, lambda fp: bucket_links(fp, max_bits), prints):
+            if len(a):
+                yield common.batch(schema, a.view(np.int64), b.view(np.int64))
 
-        def solved(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            fp = np.unique(np.concatenate(parts)) if len(parts) > 1 else np.unique(parts[0])
-            if len(fp) > 1:
-                a, b = bucket_links(fp, max_bits)
-                if len(a):
-                    yield common.batch(schema, a.view(np.int64), b.view(np.int64))
+    keys = distinct.select("fp").mapInArrow(keyed, "bucket bigint, fp bigint")
+    return _by_task(keys, "fp").mapInArrow(met, "a bigint, b bigint").distinct()
 
-        for b in batches:
-            keys, fp = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
-            if not len(keys):
-                continue
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
-            for s, e in zip(starts.tolist(), ends.tolist()):
-                if keys[s] != key:
-                    if held and sum(map(len, held)) > 1:
-                        yield from solved(held)
-                    held, key = [], keys[s]
-                held.append(fp[s:e])
-        if held and sum(map(len, held)) > 1:
-            yield from solved(held)
 
-    keys = distinct.select("fp").mapInArrow(keyed, "bucket bigint, fp bigint")
-    return keys.repartition(common.n_shards(distinct), "bucket").sortWithinPartitions("bucket").mapInArrow(met, "a bigint, b bigint").distinct()
+def _by_task(keys: DataFrame, item: str) -> DataFrame:
+    """(task, item) of (bucket, item), dealt and sorted by task; a large bucket is many tasks' work."""
+    keys = common.written(keys, "buckets")
+    tasks = common.bounded_groups(keys, "bucket", item, BUCKET).select("task", item)
+    return tasks.repartition(common.n_shards(keys), "task").sortWithinPartitions("task")
 
 
 def grouped(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -221,8 +226,10 @@ def report(df: DataFrame) -> DataFrame:
 
 # A wide form for similarities that 64 bits and a few differing ones can't tell.
 
-WIDE_SHINGLE, WIDE_WORDS, WIDE_BITS = 5, 4, 50
-#: Of WIDE_BANDS buckets, texts of Jaccard similarity 0.8 share none with probability 0.00005 (1 - 0.8 ** 3) ** 14.
+#: Texts are near-duplicates when at least 0.8 of their fingerprint bits agree.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_SIMILARITY = 5, 4, 0.8
+WIDE_BITS = int(64 * WIDE_WORDS * (1 - WIDE_SIMILARITY))
+#: Of WIDE_BANDS buckets, texts of Jaccard similarity 0.8 share none with probability 0.00005, (1 - 0.8 ** 3) ** 14.
 WIDE_BANDS, WIDE_ROWS = 14, 3
 _ODD = np.random.default_rng(14).integers(1, 2**63, WIDE_BANDS * WIDE_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = common.splitmix(np.arange(1, WIDE_WORDS + 1, dtype=np.uint64))
@@ -242,63 +249,102 @@ def wide_fingerprint(text: str, shingle: int = WIDE_SHINGLE) -> tuple[list[int],
     return words, key.view(np.int64).tolist()
 
 
+def _distances(fp: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fp ^ other).sum(axis=-1, dtype=np.int16)
+
+
+def wide_bucket_links(fp: np.ndarray, max_bits: int = WIDE_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """(place, root): a forest of all links among a bucket's distinct wide fingerprints.
+
+    Random references tell nothing at this distance (every coordinate is near 128, give or
+    take 8), so the references are fingerprints of the bucket, each farther than max_bits
+    from those before it.  What lies within max_bits of one is linked to it at once; of the
+    pairs in different trees those that a coordinate tells apart are discarded, and the
+    others verified.
+    """
+    n = len(fp)
+    trees, free, table = Forest(n), np.ones(n, bool), []
+    while free.any() and len(table) < PIVOTS:
+        p = int(np.argmax(free))
+        table.append(_distances(fp, fp[p]))
+        near = table[-1] <= max_bits
+        for x in np.flatnonzero(near).tolist():
+            trees.join(p, x)
+        free &= ~near
+    root = np.array([trees.root(k) for k in range(n)])
+    order = np.argsort(table[0], kind="stable")
+    for x, y in _pairs_near(np.stack(table, axis=1)[order], max_bits):
+        x, y = order[x], order[y]
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        for at in range(0, len(x), WINDOW_PAIRS // 4):
+            some, other = x[at : at + WINDOW_PAIRS // 4], y[at : at + WINDOW_PAIRS // 4]
+            close = _distances(fp[some], fp[other]) <= max_bits
+            for p, q in zip(some[close].tolist(), other[close].tolist()):
+                trees.join(p, q)
+    root = np.array([trees.root(k) for k in range(n)])
+    moved = np.flatnonzero(root != np.arange(n))
+    return moved, root[moved]
+
+
 def wide_links(distinct: DataFrame, max_bits: int = WIDE_BITS) -> DataFrame:
-    """Links (a, b) of nodes, from (node, fp array, keys array): a forest in each bucket."""
+    """Links (a, b) among distinct wide fingerprints, from (fp, keys)."""
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        for _, parts in common.row_groups(batches, "bucket"):
-            if sum(b.num_rows for b in parts) < 2:
-                continue
-            node = np.concatenate([b.column(1).to_numpy() for b in parts])
-            fp = np.concatenate([b.column(2).flatten().to_numpy().view(np.uint64).reshape(-1, WIDE_WORDS) for b in parts])
-            n = len(node)
-            trees = Forest(n)
-            step = max(1, WINDOW_PAIRS // n)
-            for at in range(0, n, step):  # some rows against all after them
-                d = np.bitwise_count(fp[at : at + step, None, :] ^ fp[None, at:, :]).sum(axis=2, dtype=np.int32)
-                x, y = np.nonzero(d <= max_bits)
-                near = y > x
-                for p, q in zip((x[near] + at).tolist(), (y[near] + at).tolist()):
-                    trees.join(p, q)
-            root = np.array([trees.root(k) for k in range(n)])
-            moved = np.flatnonzero(root != np.arange(n))
-            if len(moved):
-                yield common.batch(schema, node[moved], node[root[moved]])
-
-    rows = distinct.select(F.explode("keys").alias("bucket"), "node", "fp")
-    return rows.repartition(common.n_shards(distinct), "bucket").sortWithinPartitions("bucket").mapInArrow(met, "a bigint, b bigint").distinct()
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+        prints = lambda parts: sorted({x for b in parts for x in b.column(1).to_pylist()})
 
+        def solve(fp: list[bytes]) -> tuple[list, list]:
+            x, y = wide_bucket_links(np.frombuffer(b"".join(fp), np.uint64).reshape(-1, WIDE_WORDS), max_bits)
+            return [fp[k] for k in x.tolist()], [fp[k] for k in y.tolist()]
 
-def wide_grouped(df: DataFrame, shingle: int = WIDE_SHINGLE, max_bits: int = WIDE_BITS) -> DataFrame:
-    """(doc_id, component_id): groups of texts whose wide fingerprints differ in at most max_bits of 256 bits.
+        for a, b in _met(batches, solve, prints):
+            if a:
+                yield common.batch(schema, a, b)
+
+    rows = distinct.select(F.explode("keys").alias("bucket"), "fp")
+    return _by_task(rows, "fp").mapInArrow(met, "a binary, b binary").distinct()
 
-    For sets of shingles of Jaccard similarity s, a bit differs with probability
-    acos(2s / (1 + s)) / pi: on average 39 of 256 bits at 0.8, 81 at 0.3, 128 for
-    unrelated texts; WIDE_BITS leaves two standard deviations to the pairs at 0.8.
-    Texts meet in WIDE_BANDS buckets of WIDE_ROWS least hashes each, which
-    blocks of bits can't replace at this distance, and pivots prune nothing.
+
+def wide_grouped(df: DataFrame, shingle: int = WIDE_SHINGLE, max_bits: int = WIDE_BITS) -> DataFrame:
+    """(doc_id, _h, lead): every row's group, named by its first document, the struct (doc_id, _h) of smallest id.
+
+    Rows are told apart as :func:`common.documents` does, by id and text.  Texts whose
+    wide fingerprints agree in WIDE_SIMILARITY of the bits link, and linked ones form a
+    group.  For sets of shingles of Jaccard similarity s, a bit differs with probability
+    acos(2s / (1 + s)) / pi: on average 39 of 256 bits at 0.8, 51 at 0.71, 81 at 0.3, 128
+    for unrelated texts.  Texts meet in WIDE_BANDS buckets of WIDE_ROWS least hashes each,
+    which blocks of bits can't replace at this distance; inside a bucket see
+    :func:`wide_bucket_links`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64()))])
+        words = pa.list_(pa.int64())
+        schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("fp", pa.binary()), ("keys", words)])
         for b in common.small(batches, 2048):
-            yield common.batch(schema, b.column(0), *zip(*(wide_fingerprint(t, shingle) for t in b.column(1).to_pylist())))
+            fp, keys = zip(*(wide_fingerprint(t, shingle) for t in b.column(1).to_pylist()))
+            yield common.batch(schema, b.column(0), b.column(2), [np.array(x, np.int64).tobytes() for x in fp], keys)
 
-    prints = common.documents(df).select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp array<bigint>, keys array<bigint>")
+    prints = common.documents(df).mapInArrow(run, "doc_id bigint, _h bigint, fp binary, keys array<bigint>")
     prints = common.written(prints, "fingerprints")
-    distinct = common.written(prints.groupBy("fp").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"), F.count("*").alias("n")), "distinct-fingerprints")
-    roots = components(wide_links(distinct, max_bits)).withColumnRenamed("root", "component_id")
-    label = distinct.join(roots, "node", "left").select("fp", "n", F.coalesce("component_id", "node").alias("component_id"))
-    return common.joined(prints.select("doc_id", "fp"), label, "fp", "n", prints.count()).select("doc_id", "component_id")
+    one = F.min(F.struct("doc_id", "_h"))
+    distinct = common.written(prints.groupBy("fp").agg(one.alias("least"), F.min("keys").alias("keys"), F.count("*").alias("n")), "distinct-fingerprints")
+    roots = common.written(components(wide_links(distinct, max_bits)).withColumnRenamed("node", "fp"), "fingerprint-roots")
+    moved = roots.join(distinct.select("fp", "least"), "fp")
+    lead = common.written(moved.groupBy("root").agg(F.min("least").alias("lead"), F.count("*").alias("n")), "leads")
+    named = common.joined(roots, lead, "root", "n", roots.count()).select("fp", "lead")
+    label = distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("lead", "least").alias("lead"))
+    return common.joined(prints.select("doc_id", "_h", "fp"), label, "fp", "n", prints.count()).select("doc_id", "_h", "lead")
 
 
 def kept(df: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """The rows of df of which one document of each group stays: the one of smallest id (and of its repeated rows, one).
+    """The rows of df of which one document of each group stays, with all columns as they are.
 
-    groups: (doc_id, component_id), as :func:`grouped` (the default) or :func:`wide_grouped` give them.
+    groups: (doc_id, _h, lead) as :func:`wide_grouped` (the default) gives them.  The first
+    document stays: smallest id (a null id before all others), then smallest hash of the
+    text.  Rows that share an id but no group all stay; of rows that repeat an id and a
+    text, one stays.  Texts without words are one group.
     """
-    groups = grouped(df) if groups is None else groups
-    lead = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    named = df.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(common.NULL_ID)))
-    return named.join(lead, "_id", "left_semi").dropDuplicates(["_id"]).select(*df.columns)
+    groups = wide_grouped(df) if groups is None else groups
+    lead = groups.select("lead.doc_id", "lead._h").distinct()
+    return common.identified(df).join(lead, ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"]).select("row.*")

@@ -15,8 +15,10 @@ neither side has to fit anywhere as a whole.
 
 Edge cases: null texts are empty and never leak; items without tokens match nothing;
 items shorter than MIN_MATCH tokens have to stand as a whole; repeated items and
-repeated documents are reported row by row; ties of equally long matches fall to the
-earlier place in the item, then in the document.
+repeated documents are reported row by row, null ids as null; ties of equally long
+matches fall to the earlier place in the item, then in the document; texts of any length
+are read whole, in blocks of SEED_PAIRS meetings; an empty table on either side gives no
+leak; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ from . import common
 MIN_MATCH, THRESHOLD = 5, 0.5
 BLOCK_CHARS = 16_000_000
 _TOKENS = re.compile(r"\w+").findall
-_MULTIPLIERS = np.random.default_rng(1).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+#: So many pairs of a document's place and an item's are looked at together.
+SEED_PAIRS = 1 << 20
 
 
 def tokens(text: str) -> list[str]:
@@ -57,9 +60,10 @@ def window_hashes(code: np.ndarray, length: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
         value = common.splitmix(np.arange(int(code.max()) + 1, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))[code]
+        odd = common.splitmix(np.arange(1, length + 1, dtype=np.uint64)) | np.uint64(1)
         h = np.zeros(n, np.uint64)
         for k in range(length):
-            h += value[k : k + n] * _MULTIPLIERS[k]
+            h += value[k : k + n] * odd[k]
     return h
 
 
@@ -92,6 +96,16 @@ def tile(matches: list[tuple[int, int, int]], n_item: int, min_match: int) -> li
     return out
 
 
+def _runs(item: np.ndarray, diagonal: np.ndarray, place: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of an item's places on one diagonal; each run that ends where another begins is joined with it."""
+    order = np.lexsort((place, diagonal, item))
+    item, diagonal, place, size = item[order], diagonal[order], place[order], size[order]
+    new = np.ones(len(item), bool)
+    new[1:] = (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + size[:-1])
+    first = np.flatnonzero(new)
+    return item[first], diagonal[first], place[first], np.add.reduceat(size, first) if len(first) else size
+
+
 class Benchmark:
     """Seeds of a block of items, ready to meet documents."""
 
@@ -143,20 +157,18 @@ class Benchmark:
             if not len(at):
                 continue
             lo, hi = np.searchsorted(seeds, h[at], "left"), np.searchsorted(seeds, h[at], "right")
-            n = hi - lo
-            if not n.any():
+            until = np.cumsum(hi - lo)
+            if not until[-1]:
                 continue
-            doc = np.repeat(at, n)
-            seed = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-            item, place = items[seed], places[seed]
-            order = np.lexsort((place, doc - place, item))
-            item, place, doc = item[order], place[order], doc[order]
-            new = np.ones(len(item), bool)  # where a diagonal's run of seeds begins
-            new[1:] = (item[1:] != item[:-1]) | (doc[1:] - place[1:] != doc[:-1] - place[:-1]) | (place[1:] != place[:-1] + 1)
-            first = np.flatnonzero(new)
-            last = np.concatenate([first[1:], [len(item)]]) - 1
-            for f, e in zip(first.tolist(), last.tolist()):
-                k, i, d, size = int(item[f]), int(place[f]), int(doc[f]), int(place[e] - place[f]) + length
+            runs, s = [], 0
+            while s < len(at):  # a block of places, so that memory is bounded where a text and an item repeat one seed
+                e = max(s + 1, int(np.searchsorted(until, (until[s - 1] if s else 0) + SEED_PAIRS, "right")))
+                n = (hi - lo)[s:e]
+                seed = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[s:e], n)
+                runs.append(_runs(items[seed], np.repeat(at[s:e], n) - places[seed], places[seed], np.ones(len(seed), np.int64)))
+                s = e
+            for k, diagonal, i, size in np.stack(_runs(*map(np.concatenate, zip(*runs))), axis=1).tolist():
+                d, size = i + diagonal, size + length - 1
                 if np.array_equal(self.codes[k][i : i + size], code[d : d + size]):
                     found.setdefault(k, []).append((i, d, size))
         return found
@@ -175,11 +187,17 @@ class Benchmark:
                 yield self.ids[k], n, tiles
 
 
-OUT = "doc_id bigint, item_id bigint, item_tokens bigint, matched_tokens bigint, n_tiles bigint, coverage double, tiles array<struct<item:bigint,document:bigint,length:bigint>>"
+OUT = "doc_id bigint, _h bigint, item_id bigint, item_tokens bigint, matched_tokens bigint, n_tiles bigint, coverage double, tiles array<struct<item:bigint,document:bigint,length:bigint>>"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each document and item of which it holds at least the threshold."""
+    found = _leaks(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.lit(0).cast("bigint").alias("_h")), benchmark, min_match, threshold, block_chars)
+    return found.drop("_h")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The leaks of docs (doc_id, text, _h), with _h."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
@@ -190,24 +208,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, thr
         shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in block.collect()])
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, schema = Benchmark(shared.value, min_match), pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("item_tokens", pa.int64()), ("matched_tokens", pa.int64()), ("n_tiles", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(pa.struct([("item", pa.int64()), ("document", pa.int64()), ("length", pa.int64())])))])
+            items, long = Benchmark(shared.value, min_match), pa.int64()
+            tile_ = pa.struct([("item", long), ("document", long), ("length", long)])
+            schema = pa.schema([("doc_id", long), ("_h", long), ("item_id", long), ("item_tokens", long), ("matched_tokens", long), ("n_tiles", long), ("coverage", pa.float64()), ("tiles", pa.list_(tile_))])
             for b in common.small(batches, 2048):
                 rows = []
-                ids, texts = b.column(0), b.column(1).to_pylist()
+                ids, texts, hashes = b.column(0), b.column(1).to_pylist(), b.column(2)
                 for k in items.touched(texts):
-                    doc_id = ids[k].as_py()
                     for item_id, n, tiles in items.leaks(texts[k], threshold):
                         matched = sum(t.length for t in tiles)
-                        rows.append((doc_id, item_id, n, matched, len(tiles), matched / n, [t._asdict() for t in tiles]))
+                        rows.append((ids[k].as_py(), hashes[k].as_py(), item_id, n, matched, len(tiles), matched / n, [t._asdict() for t in tiles]))
                 if rows:
                     yield common.batch(schema, *zip(*rows))
 
-        part = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, OUT)
+        part = docs.mapInArrow(run, OUT)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def kept(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs into which no benchmark item leaks.  A null id joins null-safely."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left_anti")
+def kept(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of docs into which no benchmark item leaks, with all columns as they are.
+
+    Rows that share an id are judged by their own texts; repeated rows all stay or all go.
+    """
+    bad = _leaks(common.documents(docs), benchmark, **options).select("doc_id", "_h").distinct()
+    return common.identified(docs).join(bad, ["doc_id", "_h"], "left_anti").select("row.*")
