@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; run() writes each stage's rows as Parquet and rereads them as the next one's
-documents.
+documents.  All stages but the last return the columns of docs, whatever they are called;
+an empty table passes through; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -13,34 +14,35 @@ from quarrelscope.llm import common, lines, packing, quality, simhash, tiling
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects; a null or empty text has no words and goes.  Repeated rows go or stay alike."""
     return quality.kept(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; lines that repeat in one document or, as lines.py tells, in several are cut from later ones."""
-    return lines.cleaned(docs)
+    """All documents; lines that repeat in one document or, as lines.py tells, in several are cut from later ones.
+
+    Lines are cut between groups of near-duplicates, not inside them: a copy of a whole
+    document reaches the next stage as like its first document as it is here.  Null texts
+    stay null; rows are told apart by id and text.
+    """
+    return lines.cleaned(docs, groups=simhash.wide_grouped(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of smallest id.
+    """Of each group of near-duplicates the document of smallest id, as simhash.kept tells: five-word shingles, 0.8 of the fingerprint bits alike.
 
-    Groups are those of the wide fingerprints: shingles of five words, similarity of
-    about 0.8 or more.  They are made of the whole texts, as the quality rules kept them:
-    line dedup cuts the common lines of a group from all but its first document, and what
-    is left of the others resembles it no more.
+    Null and empty texts are one group; repeated rows become one; rows that share an id only are kept apart.
     """
-    whole = quality_rules(spark, common.read(spark, sf_dir, "documents"), sf_dir)
-    return simhash.kept(docs, simhash.wide_grouped(whole))
+    return simhash.kept(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which no benchmark item leaks."""
+    """Documents into which no benchmark item leaks; null texts stay, rows that share an id are judged by their own texts."""
     return tiling.kept(docs, common.read(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
+    """Pieces of training sequences; a null text is an empty document, repeated rows are packed one by one."""
     return packing.packed(docs).drop("ids")
 
 
