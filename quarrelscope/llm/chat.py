@@ -22,16 +22,23 @@ it needs; arguments may also refer to one as {"$ref": id}) or a ``tool_call_id``
 Output is a row for each event, never a conversation in one cell, so a conversation may
 hold any share of the rows.  Edge cases: null text is null content; null roles are
 kept as null; a null conv_id links nothing; repeated rows give repeated events;
-ids that are no strings are compared by their JSON; an empty table gives none.
+ids that are no strings are compared by their JSON; rows of one turn share their place,
+and events of one place their level; text that is no proper JSON (NaN, a
+number beyond a double, a nesting too deep for the parser) is plain content; lone
+surrogates come out as JSON escapes; of calls of one id and place, and of results, ties
+count once; texts of any length are read whole; other columns are not looked at; an
+empty table gives none.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -43,21 +50,49 @@ COMPACT = 16
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def _escaped(text: str) -> str:
+    """text with lone surrogates, which UTF-8 can't hold, as their JSON escapes."""
+    return _LONE.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return _escaped(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False))
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
+def _number(text: str) -> float:
+    x = float(text)
+    return x if math.isfinite(x) else _no_constant(text)
+
+
+def loaded(text: str):
+    """The JSON value; ValueError for anything else: NaN, Infinity, numbers beyond a double, too deep a nesting."""
+    try:
+        return json.loads(text, parse_constant=_no_constant, parse_float=_number)
+    except RecursionError as e:
+        raise ValueError("nested too deep") from e
+
+
+def _is(value, kind: str) -> bool:
+    if kind in ("number", "integer"):
+        return isinstance(value, (int, float)) and not isinstance(value, bool) and (kind == "number" or value == int(value))
+    return isinstance(value, _TYPES[kind])
 
 
 def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
     """What in value breaks the schema, in a fixed order."""
     out: list[str] = []
-    kind = schema.get("type")
-    if kind in ("number", "integer"):
-        ok = isinstance(value, (int, float)) and not isinstance(value, bool) and (kind == "number" or value == int(value))
-    else:
-        ok = kind is None or isinstance(value, _TYPES[kind])
-    if not ok:
-        return [f"{at}: not {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(_is(value, kind) for kind in kinds):
+        return [f"{at}: not {' or '.join(kinds)}"]
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}: not in enum")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value):
@@ -81,19 +116,20 @@ def schema_errors(value, schema: dict, at: str = "$") -> list[str]:
 
 
 def _references(value) -> Iterator[str]:
-    if isinstance(value, dict):
-        if set(value) == {"$ref"}:
-            yield _id(value["$ref"])
-        else:
-            for k in sorted(value):
-                yield from _references(value[k])
-    elif isinstance(value, list):
-        for x in value:
-            yield from _references(x)
+    todo = [value]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, dict):
+            if set(x) == {"$ref"}:
+                yield _id(x["$ref"])
+            else:
+                todo.extend(x.values())
+        elif isinstance(x, list):
+            todo.extend(x)
 
 
 def _id(value) -> str:
-    return value if isinstance(value, str) else canonical(value)
+    return value if isinstance(value, str) and not _LONE.search(value) else canonical(value)
 
 
 def events(role: str | None, text: str | None, schemas: dict) -> list[tuple]:
@@ -101,9 +137,14 @@ def events(role: str | None, text: str | None, schemas: dict) -> list[tuple]:
     data = None
     if text and text.lstrip()[:1] == "{":
         try:
-            data = json.loads(text)
+            data = loaded(text)
+            return _events(role, text, data, schemas)
         except (ValueError, RecursionError):
             data = None
+    return _events(role, text, data, schemas)
+
+
+def _events(role: str | None, text: str | None, data, schemas: dict) -> list[tuple]:
     if not isinstance(data, dict) or not ("tool_call_id" in data or isinstance(data.get("tool_calls"), list)):
         return [("message", None, None, [], [], canonical({"role": role, "content": text}))]
     if "tool_call_id" in data:
@@ -116,17 +157,17 @@ def events(role: str | None, text: str | None, schemas: dict) -> list[tuple]:
         name, arguments, errors = inner.get("name"), inner.get("arguments", {}), []
         if isinstance(arguments, str):
             try:
-                arguments = json.loads(arguments)
-            except (ValueError, RecursionError):
+                arguments = loaded(arguments)
+            except ValueError:
                 errors.append("$: not JSON")
         if "id" not in call:
             errors.append("no id")
         if not errors:
-            errors = schema_errors(arguments, schemas[name]) if name in schemas else [f"unknown tool {canonical(name)}"]
+            errors = [*map(_escaped, schema_errors(arguments, schemas[name]))] if isinstance(name, str) and name in schemas else [f"unknown tool {canonical(name)}"]
         needs = call.get("depends_on") or []
         needs = sorted({*map(_id, needs if isinstance(needs, list) else [needs]), *_references(arguments)})
         own = _id(call["id"]) if "id" in call else None
-        out.append(("call", own, name if isinstance(name, str) else canonical(name), needs, errors, canonical({"role": role, "id": own, "name": name, "arguments": arguments})))
+        out.append(("call", own, _escaped(name) if isinstance(name, str) else canonical(name), needs, errors, canonical({"role": role, "id": own, "name": name, "arguments": arguments})))
     return out
 
 
@@ -153,13 +194,18 @@ def parsed(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
 
 def _links(tools: DataFrame) -> DataFrame:
     """(conv_id, call_id, turn, part, call_turn, call_part) of each result and its call."""
-    calls = tools.where("kind = 'call'").select("conv_id", "call_id", F.struct(F.col("turn").alias("t"), F.col("part").alias("p")).alias("c")).distinct()
-    results = tools.where("kind = 'result'").select("conv_id", "call_id", "turn", "part").distinct()
-    met = results.join(calls, ["conv_id", "call_id"])
-    before = F.col("c.t") <= F.col("turn")
-    best = met.groupBy("conv_id", "call_id", "turn", "part").agg(F.max(F.when(before, F.col("c"))).alias("b"), F.min(F.when(~before, F.col("c"))).alias("a"))
-    at = F.coalesce("b", "a")
-    return best.select("conv_id", "call_id", "turn", "part", at["t"].alias("call_turn"), at["p"].alias("call_part"))
+    key, at = ["conv_id", "call_id"], F.struct(F.col("turn").alias("t"), F.col("part").alias("p"))
+    calls = tools.where("kind = 'call'").select(*key, at.alias("c")).distinct()
+    results = tools.where("kind = 'result' and conv_id is not null").select(*key, at.alias("r")).distinct()
+    per_id = calls.groupBy(*key).agg(F.min("c").alias("c"), F.count("*").alias("n"))
+    one = results.join(per_id.where("n = 1").select(*key, "c"), key)
+    # an id that several calls have: one pass over its calls and results in order, never their product
+    again = per_id.where("n > 1").select(*key)
+    both = calls.select(*key, F.col("c").alias("at"), "c", F.lit(None).cast("struct<t:bigint,p:int>").alias("r")).unionByName(results.select(*key, F.col("r").alias("at"), F.lit(None).cast("struct<t:bigint,p:int>").alias("c"), "r")).join(again, key, "left_semi")
+    order = Window.partitionBy(*key).orderBy("at", F.col("c").isNull())
+    before, after = F.last("c", True).over(order), F.first("c", True).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    many = both.select(*key, "r", F.coalesce(before, after).alias("c")).where("r is not null")
+    return one.select(*key, "r", "c").unionByName(many).select(*key, F.col("r.t").alias("turn"), F.col("r.p").alias("part"), F.col("c.t").alias("call_turn"), F.col("c.p").alias("call_part"))
 
 
 def _ordered(edges: list[tuple]) -> list[tuple]:
@@ -281,8 +327,9 @@ def linked(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         return every.select(*node, "role", "kind", "call_id", "name", F.lit(0).alias("level"), F.col("turn").alias("order_turn"), none.alias("linked_turn"), F.lit(True).alias("valid"), "errors", "json")
     links = common.written(_links(tools), "chat-links")
     order = levels(tools, links)
-    other = links.select("conv_id", "turn", "part", F.col("call_turn").alias("linked_turn")).unionByName(links.groupBy("conv_id", F.col("call_turn").alias("turn"), F.col("call_part").alias("part")).agg(F.min("turn").alias("linked_turn")).select("conv_id", "turn", "part", "linked_turn"))
-    out = every.join(order, node, "left").join(other, node, "left")
+    back = links.groupBy("conv_id", "call_id", F.col("call_turn").alias("turn"), F.col("call_part").alias("part")).agg(F.min("turn").alias("linked_turn"))
+    other = links.select(*node, "call_id", F.col("call_turn").alias("linked_turn")).unionByName(back)
+    out = every.join(order, node, "left").join(other, [*node, "call_id"], "left")
     alone = (F.col("kind") == "result") & F.col("linked_turn").isNull()
     errors = F.when(alone, F.array_append("errors", F.lit("no such call"))).otherwise(F.col("errors"))
     return out.select(*node, "role", "kind", "call_id", "name", F.coalesce("level", F.lit(0)).alias("level"), F.coalesce("order_turn", "turn").alias("order_turn"), "linked_turn", ((F.size(errors) == 0) & (F.coalesce("level", F.lit(0)) >= 0)).alias("valid"), errors.alias("errors"), "json")
@@ -297,27 +344,52 @@ def report(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
 TOOLS = {
     "measure": {
         "type": "object",
-        "properties": {"text": {"type": "string"}, "role": {"type": "string", "enum": ["user", "assistant"]}, "turn": {"type": "integer", "minimum": 0}, "last": {"type": "integer"}},
+        "properties": {"text": {"type": "string"}, "role": {"type": "string", "enum": ["user", "assistant"]}, "turn": {"type": "integer", "minimum": 0}, "last": {"type": ["integer", "null"]}},
         "required": ["text", "turn"],
         "additionalProperties": False,
-    }
+    },
+    "rate": {
+        "type": "object",
+        "properties": {"score": {"type": "number", "minimum": 0, "maximum": 40}, "tags": {"type": "array", "items": {"type": "string", "enum": ["user", "assistant"]}}},
+        "required": ["score", "tags"],
+    },
 }
 
 
 def with_calls(messages: DataFrame) -> DataFrame:
-    """Every message, a call that measures it (a call of TOOLS), and that call's result.
-
-    The message of turn t moves to turn 4t and its call to 4t + 1; a call needs the result
-    of the turn before, and refers to it.  Results of even turns come at 4t + 2, those of
-    odd turns late, at 4t + 7, after the next call.  Arguments of other roles than user and assistant break the schema.
+    """Every message, and beside it calls of TOOLS, their results and all that can go wrong with them, by fixed rules.
+
+    The message of turn t moves to turn 8t.  At 8t + 1 the assistant calls ``measure`` on
+    it; the call's id is c(t), but every fifth turn repeats the id before it.  It refers to
+    the result of c(t - 1) and, every fourth turn, also waits for an id that nobody has.
+    In every seventh conversation the call of turn 0 waits for that of turn 1, and so goes
+    round.  Every third turn the same message holds a second call, ``rate``, its arguments
+    as a string, which is cut short every ninth turn; every eleventh conversation calls it
+    by a name that isn't in the catalogue.  Roles other than user and assistant break both
+    schemas, a null text the first.  The result of ``measure`` comes at 8t + 2, in odd
+    turns at 8t + 13, after the next call; that of ``rate`` at 8t + 3; a result that
+    belongs to no call at 8t + 4 every sixth turn.
     """
-    t = F.col("turn").cast("bigint")
-    own, last = F.concat(F.lit("c"), t.cast("string")), F.concat(F.lit("c"), (t - 1).cast("string"))
-    ref = F.when(t > 0, F.create_map(F.lit("$ref"), last))
-    arguments = F.struct("text", "role", t.alias("turn"), ref.alias("last"))
-    call = F.to_json(F.struct(F.array(F.struct(own.alias("id"), F.lit("measure").alias("name"), arguments.alias("arguments"), F.when(t > 0, F.array(last)).alias("depends_on"))).alias("tool_calls")))
-    result = F.to_json(F.struct(own.alias("tool_call_id"), F.length("text").alias("content")))
+    t, conv = F.col("turn").cast("bigint"), F.col("conv_id").cast("bigint")
+    name = lambda n: F.concat(F.lit("c"), n.cast("string"))
+    own, last, text_id = name(F.when(t % 5 == 4, t - 1).otherwise(t)), name(t - 1), lambda s: F.concat(F.lit(s), t.cast("string"))
+    none = F.lit(None).cast("string")
+    needs = F.filter(F.array(F.when(t > 0, last), F.when(t % 4 == 3, F.lit("nobody")), F.when((conv % 7 == 0) & (t == 0), F.lit("c1"))), lambda x: x.isNotNull())
+    arguments = F.struct("text", "role", t.alias("turn"), F.when(t > 0, F.create_map(F.lit("$ref"), last)).alias("last"))
+    measure = F.to_json(F.struct(own.alias("id"), F.lit("measure").alias("name"), arguments.alias("arguments"), needs.alias("depends_on")))
+    rating = F.to_json(F.struct(F.pmod(conv + t, F.lit(50)).alias("score"), F.array("role").alias("tags")))
+    rating = F.when(t % 9 == 0, F.regexp_replace(rating, ".$", "")).otherwise(rating)
+    called = F.when(conv % 11 == 0, F.lit("appraise")).otherwise(F.lit("rate"))
+    rate = F.to_json(F.struct(text_id("r").alias("id"), F.struct(called.alias("name"), rating.alias("arguments")).alias("function")))
+    calls = F.concat(F.lit('{"content":null,"tool_calls":['), F.concat_ws(",", measure, F.when(t % 3 == 0, rate).otherwise(none)), F.lit("]}"))
+    result = lambda id_, content: F.to_json(F.struct(id_.alias("tool_call_id"), content.alias("content")))
     row = lambda turn, role, text: F.struct(turn.alias("turn"), role.cast("string").alias("role"), text.cast("string").alias("text"))
-    late = F.when(t % 2 == 1, 5).otherwise(0)
-    three = F.array(row(4 * t, F.col("role"), F.col("text")), row(4 * t + 1, F.lit("assistant"), call), row(4 * t + 2 + late, F.lit("tool"), result))
-    return messages.select("conv_id", F.explode(three).alias("m")).select("conv_id", "m.*")
+    tool = F.lit("tool")
+    rows = F.array(
+        row(8 * t, F.col("role"), F.col("text")),
+        row(8 * t + 1, F.lit("assistant"), calls),
+        row(8 * t + F.when(t % 2 == 1, 13).otherwise(2), tool, result(own, F.length("text"))),
+        F.when(t % 3 == 0, row(8 * t + 3, tool, result(text_id("r"), t))),
+        F.when(t % 6 == 5, row(8 * t + 4, tool, result(text_id("x"), t))),
+    )
+    return messages.select("conv_id", F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("m")).select("conv_id", "m.*")

@@ -19,11 +19,7 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.report(common.read(spark, sf_dir, "conversations"))
-
-
-def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations hold no tool calls; here every row has one, with its result and the turn before to wait for."""
+    """The conversations hold no tool calls: every row gets some, with results and dependencies, by the rules of chat.with_calls."""
     return chat.report(chat.with_calls(common.read(spark, sf_dir, "conversations")), chat.TOOLS)
 
 
@@ -59,7 +55,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_licenses": op2_licenses,
     "op3_chat": op3_chat,
-    "op3_tool_calls": op3_tool_calls,
     "op4_line_dedup": op4_line_dedup,
     "op5_repeats": op5_repeats,
     "op6_packing": op6_packing,

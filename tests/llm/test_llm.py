@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import json
 import random
 import re
 import struct
@@ -204,11 +205,6 @@ def test_chat_links_orders_and_validates(spark):
     assert got[3, None, 0].json == '{"content":null,"role":null}' and got[3, 1, 0].json == '{"content":"{broken","role":"user"}'
 
 
-def test_chat_query_equals_brute_force(spark):
-    want = sorted((r.conv_id, r.turn, chat.canonical({"content": r.text, "role": r.role})) for r in spark.read.parquet(f"{SF}/conversations.parquet").collect())
-    assert sorted((r.conv_id, r.turn, r.json) for r in queries.op3_chat(spark, SF).collect()) == want
-
-
 def _levels_brute(edges):
     """{event: (level, order_turn)} by repeated passes; events that never settle have level -1."""
     nodes = {x for e in edges for x in e}
@@ -256,25 +252,109 @@ def test_chat_levels_equal_brute_force(spark):
         assert {(r.conv_id, r.turn, r.part): (r.level, r.order_turn) for r in way(df).collect()} == want
 
 
-def test_tool_call_query_links_orders_and_validates_every_row(spark):
-    rows = spark.read.parquet(f"{SF}/conversations.parquet").collect()
-    got = {(r.conv_id, r.turn, r.part): r for r in queries.op3_tool_calls(spark, SF).collect()}
-    turns = collections.defaultdict(set)
-    for r in rows:
-        turns[r.conv_id].add(r.turn)
-    late = lambda t: 4 * t + 2 + (5 if t % 2 else 0)
-    assert len(got) == 4 * len(rows)  # a message, a call's message, the call, its result
-    for r in rows:
-        call, result = got[r.conv_id, 4 * r.turn + 1, 1], got[r.conv_id, late(r.turn), 0]
-        run = 0
-        while r.turn - run - 1 in turns[r.conv_id]:
-            run += 1
-        before = [late(t) for t in range(r.turn - run, r.turn)]
-        assert (call.level, result.level) == (2 * run, 2 * run + 1)
-        assert call.order_turn == max([call.turn, *before]) and result.order_turn == max([result.turn, *before])
-        assert (call.linked_turn, result.linked_turn) == (result.turn, call.turn)
-        assert call.valid == (r.role in ("user", "assistant")) and result.valid
-    assert any(not r.valid for r in got.values()) and any(r.level > 4 for r in got.values())
+def _faults(name, arguments):
+    """What breaks the two schemas of the catalogue, said by hand."""
+    if not isinstance(arguments, dict):
+        return 1
+    ref = lambda v: isinstance(v, dict) and set(v) == {"$ref"}
+    whole = lambda v: isinstance(v, int) and not isinstance(v, bool)
+    roles = ("user", "assistant")
+    a, n = arguments, 0
+    if name == "measure":
+        n += sum(k not in ("text", "role", "turn", "last") for k in a) + sum(k not in a for k in ("text", "turn"))
+        n += "text" in a and not isinstance(a["text"], str)
+        n += "role" in a and a["role"] not in roles
+        n += "turn" in a and not (whole(a["turn"]) and a["turn"] >= 0)
+        n += "last" in a and not (whole(a["last"]) or a["last"] is None or ref(a["last"]))
+        return n
+    n += sum(k not in a for k in ("score", "tags"))
+    n += "score" in a and not 0 <= a["score"] <= 40
+    return n + sum(x not in roles for x in a.get("tags", []))
+
+
+def _chat_brute(messages, names):
+    """The report of messages (conv_id, turn, role, text), one conversation after another, without the library's code."""
+    dump = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    out, convs = [], collections.defaultdict(list)
+    for m in messages:
+        convs[m[0]].append(m)
+    for conv, own in convs.items():
+        events, calls, results, needs = {}, collections.defaultdict(list), [], {}
+        for _, turn, role, text in own:
+            data = json.loads(text) if text and text[0] == "{" else {}
+            if "tool_call_id" in data:
+                events[turn, 0] = [role, "result", data["tool_call_id"], 0, dump({"role": role, **data})]
+                results.append(((turn, 0), data["tool_call_id"]))
+                continue
+            content = data.get("content") if "tool_calls" in data else text
+            events[turn, 0] = [role, "message", None, 0, dump({"role": role, "content": content})]
+            for part, call in enumerate(data.get("tool_calls", []), 1):
+                inner = call.get("function", call)
+                arguments, bad = inner["arguments"], 0
+                if isinstance(arguments, str):
+                    try:
+                        arguments = json.loads(arguments)
+                    except ValueError:
+                        bad = 1
+                bad = bad or (_faults(inner["name"], arguments) if inner["name"] in names else 1)
+                events[turn, part] = [role, "call", call["id"], bad, dump({"role": role, "id": call["id"], "name": inner["name"], "arguments": arguments})]
+                calls[call["id"]].append((turn, part))
+                refs = [v["$ref"] for v in arguments.values() if isinstance(v, dict)] if isinstance(arguments, dict) else []
+                needs[turn, part] = {*call.get("depends_on", []), *refs}
+        to, first = {}, {}
+        for at, id_ in sorted(results):
+            if calls[id_]:
+                to[at] = max([c for c in calls[id_] if c <= at], default=None) or min(calls[id_])
+                first.setdefault(id_, at)
+        edges = {(r, c) for r, c in to.items()} | {(c, first[i]) for c, ids in needs.items() for i in ids if i in first}
+        levels = _levels_brute(edges)
+        for at, (role, kind, id_, bad, text) in events.items():
+            level, order = levels.get(at, (0, at[0]))
+            linked = to[at][0] if at in to else min((r[0] for r, c in to.items() if c == at), default=None)
+            bad += kind == "result" and at not in to
+            out.append((conv, *at, role, kind, id_, level, order, linked, not bad and level >= 0, bad, text))
+    return sorted(out, key=repr)
+
+
+def test_chat_query_equals_brute_force(spark):
+    messages = [tuple(r) for r in chat.with_calls(spark.read.parquet(f"{SF}/conversations.parquet")).select("conv_id", "turn", "role", "text").collect()]
+    got = sorted((tuple(r) for r in queries.op3_chat(spark, SF).collect()), key=repr)
+    assert got == _chat_brute(messages, set(chat.TOOLS))
+    calls, results = [r for r in got if r[4] == "call"], [r for r in got if r[4] == "result"]
+    assert {r[9] for r in calls} == {True, False} and {r[6] < 0 for r in calls} == {True, False} and max(r[6] for r in got) > 4
+    assert any(r[8] is None for r in results) and any(r[8] is None for r in calls)  # ids without a call, and calls without a result
+    assert any(n > 1 for n in collections.Counter(r[0::5][0:2] for r in calls).values())
+
+
+def test_chat_brings_odd_json_through(spark):
+    texts = [
+        r'{"tool_call_id": "\ud800"}', r'{"tool_calls": [{"id": "\ud800", "name": ["f"], "arguments": {"\ud801": 1}}]}', '{"tool_calls": [{"id": "n", "name": "measure", "arguments": {"turn": Infinity}}]}',
+        '{"tool_calls": [{"id": "e", "name": "measure", "arguments": "{\\"turn\\": 1e999}"}]}', '{"tool_calls": ' + "[" * 200_000 + "]" * 200_000 + "}", '{"tool_calls": [5, null]}', "{}", "", "x" * 300_000,
+    ]
+    rows = [(9, k, "user", t, "h") for k, t in enumerate(texts)] + [(9, 0, "user", texts[0], "h"), (9, 8, "assistant", "of the same turn", "h")]
+    got = chat.report(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, kind string"), chat.TOOLS).collect()
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.turn].append(r)
+    assert len(by[0]) == 2 and all(r.kind == "result" and r.linked_turn == 1 for r in by[0])  # a repeated row
+    assert [(r.kind, r.n_errors) for r in by[1]] == [("message", 0), ("call", 1)] and by[1][1].call_id == r'"\ud800"'
+    assert [r.kind for r in by[2]] == ["message"] and by[3][1].n_errors == 1 and len(by[4]) == 1
+    assert [r.n_errors for r in by[5]] == [0, 1, 1] and len(by[8]) == 2 and max(len(r.json) for r in by[8]) > 300_000
+
+
+def test_chat_links_many_calls_of_one_id(spark):
+    random.seed(13)
+    rows, calls, results = [], [], []
+    for turn in random.sample(range(4000), 2400):
+        if random.random() < 0.5:
+            rows.append((1, turn, "assistant", '{"tool_calls": [{"id": "same", "name": "f"}]}'))
+            calls.append(turn)
+        else:
+            rows.append((1, turn, "tool", '{"tool_call_id": "same"}'))
+            results.append(turn)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.turn: r.linked_turn for r in chat.linked(df, {"f": {}}).where("kind = 'result'").collect()}
+    assert got == {r: max((c for c in calls if c < r), default=min(calls)) for r in results}
 
 
 # 4
@@ -583,7 +663,7 @@ def test_wide_groups_and_one_of_each_stays(spark):
         texts.append(" ".join(v))
     texts += [texts[0], "", ""]
     df = frame(spark, texts)
-    group = {r.doc_id: r.component_id for r in simhash.wide_grouped(df).collect()}
+    group = {r.doc_id: r.lead.doc_id for r in simhash.wide_grouped(df).collect()}
     assert all(group[a] == group[b] == a for a, b in pairs) and group[120] == 0 and group[122] == 121
     assert len(set(group.values())) == 61
     kept = simhash.kept(df, simhash.wide_grouped(df))
