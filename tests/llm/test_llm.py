@@ -698,6 +698,51 @@ def test_html_keeps_articles(spark):
         assert r.text == "\n".join(x for x in parts if x) and r.n_chars == len(r.text)
 
 
+_PROSE = "the words of a long text that is in the middle of it " * 6
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        # no article: blocks decide; marks count by their last part
+        (f"<div class=content><h2>Head</h2><p>{_PROSE}</p><p>Short.</p></div><div id=comments><p>{_PROSE}</p></div>", ["Head", _PROSE, "Short."]),
+        (f"<div class='social-history'><p>{_PROSE}</p></div><div class='social-links'>{_PROSE}</div><div class=site-footer-2>{_PROSE}</div>", [_PROSE]),
+        # a heading outside the article, running text outside it, teaser cards
+        (f"<body><h1>Title</h1><main><p>{_PROSE}</p></main><div>Imprint</div></body>", ["Title", _PROSE]),
+        (f"<div class=content><p>{_PROSE}</p></div><article><a href=x><div>A teaser</div></a></article>", [_PROSE]),
+        (f"<article><p>{_PROSE}</p></article><article><p>Two</p></article>", [_PROSE, "Two"]),
+        # in the article: linked headings and paragraphs, ids of sections, formulas; its adverts go
+        (f"<article><h2 id=search-algorithms><a href=x>Linked head</a></h2><p><a href=y>A linked paragraph</a></p><section id=discussion><p>Result <math><mi>x</mi></math>.</p></section><div class=legal-history>Old law</div><p class=ad>Buy</p><ul class=related-links><li>more</ul></article>", ["Linked head", "A linked paragraph", "Result x.", "Old law"]),
+        (f"<article><p>{_PROSE}<div><a href=x>menu</a> <a href=y>entry</a></div></article>", [_PROSE]),
+        # a page in one form
+        (f"<form><div><p>{_PROSE}</p></div></form>", [_PROSE]),
+        (f"<p>{_PROSE}</p><form><p>{_PROSE}</p></form>", [_PROSE]),
+        # cut off and unclosed
+        (f"<article><p>{_PROSE}<p>one<li>two<li>three<b>four", [_PROSE, "one", "two", "threefour"]),
+        ('<p title="a > b">x</p><p data-x=\'<b>y</b>\'>z</p>', ["x", "z"]),
+    ],
+)
+def test_html_pages_of_other_shapes(page, want):
+    assert html.main_text(page).split("\n") == [x.strip() for x in want]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a '>", "<title", "<title>", "<!x", "<!--", "<div>", "<p>x", "</p>", "<div></p>", "<a href=\"x>", "&amp;", "< ", "<b class='ad'>"])
+def test_html_is_linear(part):
+    import time
+
+    began = time.time()
+    html.main_text(part * 60_000)
+    html.main_text("<div>" * 30_000 + part * 30_000 + ">")
+    assert time.time() - began < 10
+
+
+def test_html_repeated_long_and_odd_rows(spark):
+    long = "<p>" + _PROSE * 5000 + "</p>"
+    rows = [(1, "u", long, "x"), (1, "u", long, "y"), (1, None, "", None), (2, "u", "<p>one</p>", None)]
+    got = [tuple(r) for r in html.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).orderBy("page_id", "n_chars").collect()]
+    assert got == [(1, None, "", 0), *[(1, "u", (_PROSE * 5000).strip(), 5000 * len(_PROSE) - 1)] * 2, (2, "u", "one", 3)]
+
+
 def test_html_nulls(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in html.extracted(df).collect()) == [(0, "x", 1), (1, "", 0)]
