@@ -170,6 +170,26 @@ def test_license_of_a_higher_directory(spark):
     assert got == {1: ("MIT", None), 2: ("CC-BY-NC-4.0", "a"), 3: ("CC-BY-NC-4.0", None), 4: ("MIT", "")}
 
 
+def test_whole_licenses_and_wrapped_headers(spark):
+    """Real license files and headers, in nested directories; what is copied into prose doesn't speak for a directory."""
+    known = dict(licenses.default_templates()[len(licenses.NOTICES) :])
+    own = lambda name: known[name].replace("<year>", "2019").replace("<holders>", "Somebody Else and contributors")
+    prose = " ".join(f"word{k % 90} of the tale" for k in range(400))
+    apache = "/*\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n *    http://www.apache.org/licenses/LICENSE-2.0\n */\n"
+    rows = [
+        (1, "", own("MIT")), (2, "a", own("Apache-2.0")), (3, "a/b", own("BSD-3-Clause")), (4, "g", own("GPL-3.0")), (5, "h", own("LGPL-2.1")), (6, "i", own("BSD-2-Clause")), (7, "j", "Copyright 2001 X\n" + own("ISC")), (8, "k", own("GPL-2.0")),
+        (20, "a/b/c", "import os\n"), (21, "a/x", "code"), (22, "z/y", "code"), (23, "g", prose), (24, "a/b", apache + prose),
+        (25, "z", prose + "\nThis work is licensed under the GNU General\nPublic License, version 3.\n" + prose), (26, "m", prose + own("MIT") + prose), (27, "m", None),
+    ]
+    rows += rows[8:9]
+    got = {r.doc_id: (r.license, r.origin, r.from_directory) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, directory string, text string")).collect()}
+    files = {1: "MIT", 2: "Apache-2.0", 3: "BSD-3-Clause", 4: "GPL-3.0", 5: "LGPL-2.1", 6: "BSD-2-Clause", 7: "ISC", 8: "GPL-2.0"}
+    assert {k: got[k] for k in files} == {k: (v, "license file", None) for k, v in files.items()}
+    assert got[20] == ("BSD-3-Clause", "inherited", "a/b") and got[21] == ("Apache-2.0", "inherited", "a") and got[22] == ("MIT", "inherited", "")
+    assert got[23] == ("GPL-3.0", "inherited", "g") and got[24] == ("Apache-2.0", "notice", None) and got[25] == ("GPL-3.0", "notice", None)
+    assert got[26] == ("MIT", "notice", None) and got[27] == ("MIT", "inherited", "")
+
+
 def test_license_scan_is_native(spark):
     plan = queries.op2_licenses(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD", plan)
