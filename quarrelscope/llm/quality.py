@@ -1,21 +1,23 @@
 """Quality rules as a short-circuit cascade (operator 9).
 
-A rule is a cheap test over a document's measurements.  The cascade first measures
-every rule on a sample: what a call costs and which share it rejects.  It then runs
-the rules by falling rejection per cost, and a document leaves at the first rule
-that rejects it.  The order changes the time only: the verdict is the same under
-every order; :meth:`Cascade.verdict` names the rule that ended the cascade.
+A rule is a cheap test over a document's measurements, which are taken when a rule first
+asks for them.  The cascade first measures every rule on a sample: what it costs beyond
+the words that all rules share, and which share it rejects.  It then runs the rules by
+falling rejection per cost, and a document leaves at the first rule that rejects it.
+The order changes the time only: the verdict is the same under every order;
+:meth:`Cascade.verdict` names the rule that ended the cascade.
 
 Edge cases: null text counts as empty and has no words; an empty document fails the
 base rule; repeated rows are judged one by one and equally; very long texts are
-measured whole; an empty table gives an empty result.
+measured whole; equal rates of two rules (ties) fall to the cheaper one, then to the order
+given; other columns are kept as they are by :func:`kept` and not looked at by
+:func:`measured`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import operator
 import time
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -29,8 +31,8 @@ from . import common
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Rows of the sample that the order is estimated on; results don't depend on it.
-SAMPLE_ROWS = 400
+#: The order is estimated on at most so many documents, one in SAMPLE_EVERY by the hash of id and text; results don't depend on it.
+SAMPLE_ROWS, SAMPLE_EVERY = 400, 16
 _SYMBOLS, _CAPITALS, _SMALL = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _rng = np.random.default_rng(9)
 _WORD_VALUES = _rng.integers(1, 2**63, 1 << 16, dtype=np.uint64)
@@ -142,11 +144,12 @@ class Cascade:
     share: dict[str, float] = field(default_factory=dict)
 
     def fit(self, texts: list[str]) -> Cascade:
-        """Cost (seconds a call, measurements included) and selectivity of each rule on the sample."""
+        """Cost (seconds a call, with the measurements that the rule alone needs) and selectivity of each rule on the sample."""
         for r in self.rules:
+            documents = [Measured(t) for t in texts]  # encoding and words are shared, so they are no rule's cost
             began, out = time.perf_counter(), 0
-            for t in texts:
-                out += bool(r.rejects(Measured(t)))
+            for d in documents:
+                out += bool(r.rejects(d))
             self.cost[r.name] = (time.perf_counter() - began) / max(1, len(texts)) + 1e-9
             self.share[r.name] = out / max(1, len(texts))
         self.rules = tuple(sorted(self.rules, key=lambda r: (-self.share[r.name] / self.cost[r.name], self.cost[r.name])))
@@ -160,9 +163,10 @@ class Cascade:
         return None
 
 
-def fitted(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, text_col: str = "text") -> Cascade:
-    """A cascade ordered on at most sample_rows documents, of 20,000 characters at most in the timing."""
-    rows = df.select(F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, 20_000).alias("t")).limit(sample_rows).collect()
+def fitted(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, text_col: str = "text", every: int = SAMPLE_EVERY) -> Cascade:
+    """A cascade ordered on at most sample_rows documents, whole."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = df.select(text.alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).limit(sample_rows).toLocalIterator()
     return Cascade(rules).fit([r.t for r in rows])
 
 
@@ -171,20 +175,18 @@ _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 
 def measured(df: DataFrame, cascade: Cascade | None = None) -> DataFrame:
-    """Measurements and verdict of every document; columns of OUT."""
-    order = [r.name for r in (cascade or fitted(df)).rules]
+    """Base measurements and verdict of every document; columns of OUT."""
+    cascade = cascade or fitted(df)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_name = {r.name: r for r in RULES}
-        rules = Cascade(tuple(by_name[n] for n in order))
-        rest = Cascade(tuple(r for r in rules.rules if not r.base))
+        base = [r for r in cascade.rules if r.base]
         schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in _COLUMNS), ("base_failed", pa.bool_()), ("kept", pa.bool_())])
         for b in common.small(batches):
             rows = []
             for t in b.column(1).to_pylist():
                 d = Measured(t)
-                failed = any(r.rejects(d) for r in rules.rules if r.base)
-                rows.append((*(getattr(d, c) for c in _COLUMNS), failed, not failed and rest.verdict(d) is None))
+                stays = cascade.verdict(d) is None  # stops at the first rule that rejects; the columns below ask for the rest
+                rows.append((*(getattr(d, c) for c in _COLUMNS), not stays and any(r.rejects(d) for r in base), stays))
             yield common.batch(schema, b.column(0), *zip(*rows))
 
     return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, OUT)
@@ -192,14 +194,12 @@ def measured(df: DataFrame, cascade: Cascade | None = None) -> DataFrame:
 
 def kept(df: DataFrame, cascade: Cascade | None = None) -> DataFrame:
     """The rows of df, all columns as they are, that no rule rejects.  Short-circuits: measurements are taken as rules ask."""
-    order = [r.name for r in (cascade or fitted(df)).rules]
+    cascade = cascade or fitted(df)
     at = df.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_name = {r.name: r for r in RULES}
-        rules = Cascade(tuple(by_name[n] for n in order))
         for b in common.small(batches):
-            stays = [rules.verdict(Measured(t or "")) is None for t in b.column(at).to_pylist()]
+            stays = [cascade.verdict(Measured(t or "")) is None for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(stays, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
@@ -209,8 +209,3 @@ def rule_report(df: DataFrame, cascade: Cascade | None = None) -> list[tuple[str
     """(rule, cost in seconds, share rejected) in the order of the cascade."""
     c = cascade or fitted(df)
     return [(r.name, c.cost.get(r.name, 0.0), c.share.get(r.name, 0.0)) for r in c.rules]
-
-
-def rejected_counts(df: DataFrame) -> Counter:
-    """How many of a small frame's documents each rule rejects (for reports)."""
-    return Counter(Cascade().verdict(Measured(r.text or "")) for r in df.select("text").toLocalIterator())
