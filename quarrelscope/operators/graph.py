@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .edits import graph_edits
 
 NEIGHBOURS, MAX_WEIGHT, BIG_EDIT = 10, 100.0, 100
+#: Pages of a user that meet in one task.
+USER_BLOCK = 1000
 
 
 def contributions(revisions: DataFrame) -> DataFrame:
@@ -29,18 +31,22 @@ def degrees(edges: DataFrame) -> DataFrame:
     return edges.groupBy("page_id").agg(F.count("*").alias("n_users"))
 
 
-def similarities(edges: DataFrame) -> DataFrame:
+def similarities(edges: DataFrame, block: int = USER_BLOCK) -> DataFrame:
     """(a, b, similarity) of pages a < b with a user in common: the cosine of their weights.
 
     Weights are scaled to unit length before the join, so no norm is joined to the
-    pairs, and each unordered pair is built once.  The join meets on the user;
-    adaptive execution splits the users that edit everywhere.
+    pairs, and each unordered pair is built once.  The join meets on the user and, for
+    users of more than block pages, on two blocks of their pages, so that no task's key
+    makes more than about block * block pairs.
     """
     norm = edges.groupBy("page_id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
-    unit = edges.join(norm, "page_id").select("page_id", "user_id", (F.col("weight") / F.col("_norm")).alias("w"))
-    a = unit.select(F.col("page_id").alias("a"), "user_id", F.col("w").alias("wa"))
-    b = unit.select(F.col("page_id").alias("b"), "user_id", F.col("w").alias("wb"))
-    return a.join(b, "user_id").where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
+    blocks = edges.groupBy("user_id").agg(F.ceil(F.count("*") / block).cast("int").alias("_n"))
+    unit = edges.join(norm, "page_id").join(blocks, "user_id").select("page_id", "user_id", (F.col("weight") / F.col("_norm")).alias("w"), "_n", F.pmod(F.xxhash64("page_id"), F.col("_n")).cast("int").alias("_own"))
+    meet = ["user_id", "_i", "_j"]
+    a = unit.select(F.col("page_id").alias("a"), "user_id", F.col("w").alias("wa"), F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_n") - 1)).alias("_j"))
+    b = unit.select(F.col("page_id").alias("b"), "user_id", F.col("w").alias("wb"), F.col("_own").alias("_j"), F.explode(F.sequence(F.lit(0), "_own")).alias("_i"))
+    pairs = a.join(b, meet).where((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b")))
+    return pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
 
 
 def jumps(similar: DataFrame, n: int = NEIGHBOURS, digits: int = 9) -> DataFrame:

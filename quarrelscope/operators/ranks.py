@@ -53,9 +53,17 @@ def standings(cube: DataFrame, keys: tuple[str, ...] = GLOBAL_KEYS, prefix: str
 
 
 def ranked(cube: DataFrame) -> DataFrame:
-    """The cube with both standings."""
+    """The cube with both standings.
+
+    Most of the cube has weight zero.  Its standings are a row for each type, year, page
+    type and topic, a catalogue's size, and are broadcast; the other weights, none of which
+    stands out, meet theirs by a shuffle.
+    """
+    zero = F.col("weight") == 0
     overall, in_topic = standings(cube), standings(cube, TOPIC_KEYS, "topic_")
-    return cube.join(overall, [*GLOBAL_KEYS, "weight"]).join(in_topic, [*TOPIC_KEYS, "weight"])
+    at_zero = lambda s: F.broadcast(s.where(zero).drop("weight"))
+    some = cube.where(~zero).join(overall.where(~zero), [*GLOBAL_KEYS, "weight"]).join(in_topic.where(~zero), [*TOPIC_KEYS, "weight"])
+    return some.unionByName(cube.where(zero).join(at_zero(overall), [*GLOBAL_KEYS]).join(at_zero(in_topic), [*TOPIC_KEYS]))
 
 
 def nested(ranked_cube: DataFrame) -> DataFrame:

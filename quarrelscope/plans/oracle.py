@@ -8,8 +8,17 @@ from __future__ import annotations
 
 _CTES: dict[str, str] = {
     "articles": "SELECT p_partkey + 1000 AS page_id, p_name || ' ' || p_partkey AS page_title, regexp_extract(p_brand, '([0-9]+)$', 1)::BIGINT AS parent_id FROM part",
-    "topics": "SELECT DISTINCT parent_id AS topic_id, 'Topic ' || parent_id || ' things' AS page_title, 'topic' AS topic FROM articles",
+    "topics": "SELECT DISTINCT parent_id AS topic_id, 'Topic' || parent_id || ' things' AS page_title, 'topic' || parent_id AS topic FROM articles",
     "pages": "SELECT page_id, page_title, parent_id, 'article' AS page_type FROM articles UNION ALL SELECT topic_id, page_title, 0, 'topic' FROM topics UNION ALL SELECT 0, NULL, 0, 'global'",
+    "abstracts": "SELECT page_id, parent_id, text FROM (SELECT doc_id + 1000 AS page_id, text FROM documents) JOIN articles USING (page_id) WHERE text IS NOT NULL",
+    "cuts": """SELECT page_id, text, nbytes, regexp_extract(left(text, n::INTEGER), '(?s)^(.*[\\p{L}\\p{M}\\p{N}])[^\\p{L}\\p{M}\\p{N}]', 1) AS cut
+        FROM (SELECT page_id, text, nbytes, max(n) AS n FROM abstracts, (SELECT unnest([256, 512]) AS nbytes), (SELECT unnest(range(0, 513)) AS n) WHERE n <= nbytes AND strlen(left(text, n::INTEGER)) <= nbytes GROUP BY ALL)""",
+    "page_words": "SELECT page_id, parent_id, word, count(*) AS n FROM (SELECT page_id, parent_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]+')) AS word FROM abstracts) GROUP BY ALL",
+    "word_fields": """SELECT page_id, key, word, value FROM (SELECT *, row_number() OVER (PARTITION BY page_id, key ORDER BY value DESC, word) AS place FROM (
+        SELECT 0 AS page_id, 'Word2Occur' AS key, word, sum(n)::DOUBLE AS value FROM page_words GROUP BY word
+        UNION ALL SELECT parent_id, 'Word2Occur', word, sum(n)::DOUBLE FROM page_words GROUP BY parent_id, word
+        UNION ALL SELECT page_id, 'Word2TFIDF', word, round(n * ln((SELECT count(DISTINCT page_id) FROM page_words) / df), 9) FROM page_words JOIN (SELECT word, count(*) AS df FROM page_words GROUP BY word) USING (word)
+        UNION ALL SELECT page_id, 'BWord2Occur', word, n::DOUBLE FROM page_words WHERE word IN ('of', 'und', 'les', 'con'))) WHERE place <= 100""",
     "revisions": """SELECT *, (row_number() OVER w)::INTEGER AS rev_serialid, rev_charweight - lag(rev_charweight, 1, 0.0::DOUBLE) OVER w AS rev_chardiff
         FROM (SELECT l_partkey + 1000 AS page_id, CASE WHEN o_custkey % 10 != 0 THEN o_custkey END AS user_id, o_custkey % 17 = 0 AS user_isbot, floor(l_extendedprice)::DOUBLE AS rev_charweight,
           CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 1 ELSE 0 END AS rev_isrevert, l_shipdate AS rev_timestamp, year(l_shipdate)::INTEGER AS rev_year, l_orderkey, l_linenumber

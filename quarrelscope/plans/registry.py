@@ -363,32 +363,69 @@ def j17_neighbours(w):
 # documents
 
 
-@query("SELECT page_id, count(*) AS n_types, sum(n) AS n_measurements, any_value(links) AS n_links FROM (SELECT page_id, type, count(*) AS n, any_value((SELECT count(*) FROM jumps WHERE jumps.page_id = ranked.page_id)) AS links FROM ranked GROUP BY page_id, type) GROUP BY page_id".replace("any_value((SELECT count(*) FROM jumps WHERE jumps.page_id = ranked.page_id))", "any_value(coalesce(l, 0))").replace("FROM ranked GROUP BY page_id, type", "FROM ranked LEFT JOIN (SELECT page_id, count(*) AS l FROM jumps GROUP BY page_id) USING (page_id) GROUP BY page_id, type"))
+@query(
+    """SELECT page_id, page_title, n_types, n_measurements, total, coalesce(links, '') AS links FROM (SELECT page_id, count(DISTINCT type) AS n_types, count(*) AS n_measurements, round(sum(weight * rank), 4) AS total FROM ranked GROUP BY page_id)
+    JOIN pages USING (page_id) LEFT JOIN (SELECT page_id, string_agg(neighbour::VARCHAR, ' ' ORDER BY position) AS links FROM jumps GROUP BY page_id) USING (page_id)"""
+)
 def c10_page_doc(w):
     n = F.aggregate("stats", F.lit(0).cast("bigint"), lambda a, s: a + F.size(s["measurements"]))
-    return w.page_infos.select("page_id", F.size("stats").cast("bigint").alias("n_types"), n.alias("n_measurements"), F.size("socialjumps").cast("bigint").alias("n_links"))
-
-
-@query(abstracts=True)
-def x8_page_json(w):
-    return documents.page_json(w.page_infos)
+    one = lambda s: F.aggregate(s["measurements"], F.lit(0.0), lambda a, m: a + m["weight"] * m["rank"])
+    total = F.aggregate("stats", F.lit(0.0), lambda a, s: a + one(s))
+    links = F.array_join(F.transform("socialjumps", lambda p: p["page_id"].cast("string")), " ")
+    return w.page_infos.select("page_id", "page.page_title", F.size("stats").cast("bigint").alias("n_types"), n.alias("n_measurements"), F.round(total, 4).alias("total"), links.alias("links"))
 
 
 @query(
-    "SELECT doc_id + 1000 AS page_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents JOIN part ON p_partkey = doc_id) GROUP BY doc_id, word",
+    """SELECT p.page_id, p.page_title AS title, p.parent_id, p.page_type AS type, p.page_creationyear AS created, text AS abstract, n_types, first_type, n_links, link_title, link_abstract
+    FROM (SELECT c.*, page_title FROM created c JOIN pages USING (page_id)) p LEFT JOIN abstracts a ON a.page_id = p.page_id
+    JOIN (SELECT page_id, count(DISTINCT type) AS n_types, min(type) AS first_type FROM ranked GROUP BY page_id) r ON r.page_id = p.page_id
+    JOIN (SELECT pages.page_id, count(neighbour) AS n_links FROM pages LEFT JOIN jumps USING (page_id) GROUP BY pages.page_id) l ON l.page_id = p.page_id
+    LEFT JOIN (SELECT j.page_id, n.page_title AS link_title, cut AS link_abstract FROM jumps j JOIN pages n ON n.page_id = neighbour LEFT JOIN (SELECT * FROM cuts WHERE nbytes = 256) ON cuts.page_id = neighbour WHERE position = 1) f ON f.page_id = p.page_id""".replace("cuts.page_id", "k.page_id").replace("(SELECT * FROM cuts WHERE nbytes = 256) ON", "(SELECT * FROM cuts WHERE nbytes = 256) k ON"),
     abstracts=True,
 )
+def x8_page_json(w):
+    """Pages as JSON, read again at the boundary."""
+    page = "page_id: bigint, page_title: string, page_abstract: string, parent_id: bigint, page_type: string, page_creationyear: int"
+    shape = f"page struct<{page}>, stats array<struct<type:string,measurements:array<struct<year:int,weight:double>>>>, socialjumps array<struct<{page}>>"
+    j = documents.page_json(w.page_infos).select(F.from_json("json", shape).alias("j")).select("j.*")
+    link = F.try_element_at("socialjumps", F.lit(1))
+    return j.select(
+        "page.page_id", F.col("page.page_title").alias("title"), "page.parent_id", F.col("page.page_type").alias("type"), F.col("page.page_creationyear").alias("created"), F.col("page.page_abstract").alias("abstract"),
+        F.size("stats").cast("bigint").alias("n_types"), F.col("stats")[0]["type"].alias("first_type"), F.size("socialjumps").cast("bigint").alias("n_links"), link["page_title"].alias("link_title"), link["page_abstract"].alias("link_abstract"),
+    )
+
+
+@query("SELECT page_id, type, year, year = 0 AS is_all_time, round(weight, 6) AS weight, rank, topic_rank FROM ranked")
+def x9_split_stats(w):
+    s = documents.split_stats(w.page_infos)
+    every = s.select("page_id", "type", F.lit(True).alias("is_all_time"), F.col("all_time").alias("m")).unionByName(s.select("page_id", "type", F.lit(False).alias("is_all_time"), F.explode("by_year").alias("m")))
+    return _rounded(every.select("page_id", "type", "m.year", "is_all_time", "m.weight", "m.rank", "m.topic_rank"), "weight")
+
+
+@query("SELECT page_id, word, n FROM page_words", abstracts=True)
 def c15_word_counts(w):
     texts = w.raw_pages.where("page_abstract IS NOT NULL").select(F.col("page_id").alias("id"), F.col("page_abstract").alias("text"))
     return documents.word_counts(texts).withColumnRenamed("id", "page_id")
 
 
-@query(
-    "SELECT page_id, CASE WHEN doc_id IS NULL OR NOT regexp_matches(lower(text), '[a-z]') THEN 0 ELSE 2 END::INTEGER AS n_fields FROM pages LEFT JOIN (SELECT doc_id + 1000 AS doc_id, text FROM documents) ON page_id = doc_id AND page_type = 'article'",
-    abstracts=True,
-)
+_LISTED_WORDS = ("of", "und", "les", "con")
+
+
+def _flat_words(enriched):
+    pairs = enriched.select("page_id", F.explode("fields").alias("key", "json"))
+    return _rounded(pairs.select("page_id", "key", F.explode(F.from_json("json", "map<string,double>")).alias("word", "value")), "value")
+
+
+@query("SELECT page_id, key, word, round(value, 6) AS value FROM word_fields", abstracts=True)
 def j22_enrich(w):
-    return w.enrichment().select("page_id", F.size("fields").alias("n_fields"))
+    return _flat_words(w.enrichment(bad_words=_LISTED_WORDS))
+
+
+@query("SELECT page_id, key, word, round(value, 6) AS value FROM word_fields", abstracts=True)
+def s18_saved_words(w):
+    path = f"{shared_folder(w.raw_pages.sparkSession)}/words-{uuid.uuid4().hex}"
+    w.enrichment(bad_words=_LISTED_WORDS).select(F.col("page_id").alias("id"), "fields").write.parquet(path)
+    return _flat_words(w.enrichment(saved=path))
 
 
 @query("SELECT id, key, value FROM (SELECT page_id AS id, 'a' AS key, 'second' AS value FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 'a', 'first' FROM pages WHERE page_id % 2 = 1 UNION ALL SELECT page_id, 'b', page_id::VARCHAR FROM pages WHERE page_id % 2 = 0)")
@@ -400,14 +437,15 @@ def j21_merge(w):
     return out.select(F.col("page_id").alias("id"), F.explode("fields").alias("key", "value"))
 
 
-@query(abstracts=True)
+@query("SELECT page_id, cut AS abstract FROM cuts WHERE nbytes = 256", abstracts=True)
 def x11_smart_truncate(w):
     return w.raw_pages.where("page_abstract IS NOT NULL").select("page_id", X.smart_truncate("page_abstract").alias("abstract"))
 
 
-@query(r"SELECT page_id, regexp_extract(page_title, '(?s)^(.*[\p{L}\p{M}\p{N}])[^\p{L}\p{M}\p{N}]', 1) AS cut FROM pages WHERE page_title IS NOT NULL")
-def x12_title_truncate(w):
-    return w.raw_pages.where("page_title IS NOT NULL").select("page_id", X.smart_truncate("page_title", X.TOPTEN_LIMIT).alias("cut"))
+@query("SELECT page_id, max(cut) FILTER (nbytes = 256) AS in_link, max(cut) FILTER (nbytes = 512) AS in_list, max(text) AS own FROM cuts GROUP BY page_id", abstracts=True)
+def x12_limits(w):
+    own = F.col("page_abstract")
+    return w.raw_pages.where("page_abstract IS NOT NULL").select("page_id", X.smart_truncate(own, X.LINK_LIMIT).alias("in_link"), X.smart_truncate(own, X.TOPTEN_LIMIT).alias("in_list"), own.alias("own"))
 
 
 @query("SELECT doc_id + 1000 AS page_id, octet_length(encode(text)) AS n_bytes FROM documents JOIN part ON p_partkey = doc_id", abstracts=True)
@@ -431,10 +469,10 @@ def x16_topic_names(w):
     return w.topic_names
 
 
-@query("SELECT page_id, CASE page_type WHEN 'article' THEN (SELECT topic FROM topics LIMIT 1) WHEN 'topic' THEN (SELECT topic FROM topics LIMIT 1) ELSE '' END AS topic FROM pages")
+@query("SELECT pages.page_id, coalesce(topic, '') AS topic FROM pages LEFT JOIN topics ON topic_id = CASE page_type WHEN 'article' THEN parent_id ELSE page_id END")
 def x17_page_topic(w):
     own = F.when(F.col("page_type") == "article", F.col("parent_id")).otherwise(F.col("page_id"))
-    return w.raw_pages.select("page_id", own.alias("topic_id")).join(F.broadcast(w.topic_names), "topic_id", "left").select("page_id", F.coalesce("topic", F.lit("")).alias("topic"))
+    return w.raw_pages.select("page_id", own.alias("topic_id")).join(w.topic_names, "topic_id", "left").select("page_id", F.coalesce("topic", F.lit("")).alias("topic"))
 
 
 @query("SELECT page_id, replace(page_title, ' ', '_') AS name FROM pages WHERE page_title IS NOT NULL")
@@ -444,7 +482,7 @@ def x18_underscored(w):
 
 def _named_lists(w):
     topic = F.when(F.col("topic_id") == 0, F.lit("all")).otherwise(F.col("topic"))
-    return w.topten_lists.join(F.broadcast(w.topic_names), "topic_id", "left").withColumn("topic", topic)
+    return w.topten_lists.join(w.topic_names, "topic_id", "left").withColumn("topic", topic)
 
 
 @query("SELECT year, type, topic_id, 'toptens/' || CASE WHEN year = 0 THEN 'all' ELSE year::VARCHAR END || '/' || type || '/' || CASE WHEN topic_id = 0 THEN 'all' ELSE topic END || '.html' AS path FROM topten_lists LEFT JOIN topics USING (topic_id)")
@@ -474,9 +512,98 @@ def s7_csv_roundtrip(w):
     return pages.join(revisions, "page_id").select("page_id", "page_title", "page_type", "rev_serialid", "user_id", "rev_isrevert", "rev_charweight")
 
 
-@query(abstracts=True)
+def _seen_in(documents_, kind: str):
+    """What a rendered document shows: its title, how many rankings and list entries, and the time span it names."""
+    inside = F.regexp_extract("data", r"const rankings = (\[.*\]);", 1)
+    n_rankings = F.when(inside == "", 0).otherwise(F.size(F.from_json(inside, "array<array<string>>")))
+    return documents_.select(
+        "path",
+        F.lit(kind).alias("kind"),
+        F.regexp_extract("data", r"<h1>(.*?)</h1>", 1).alias("title"),
+        F.regexp_extract("data", r'data-topic="([^"]*)"', 1).alias("topic"),
+        n_rankings.cast("bigint").alias("n_rankings"),
+        F.regexp_count("data", F.lit("<li ")).cast("bigint").alias("n_entries"),
+        F.regexp_extract("data", r'"maxyear": (\d+)', 1).alias("last_year"),
+    )
+
+
+_PAGE_DOCUMENTS = """SELECT CASE page_type WHEN 'global' THEN 'index.html' WHEN 'topic' THEN 'categories/' || translate(page_title, ' /?#', '_∕？＃') || '.html' ELSE 'articles/' || translate(page_title, ' /?#', '_∕？＃') || '.html' END AS path,
+    'page' AS kind, coalesce(page_title, '') AS title, coalesce(topic, '') AS topic, n_rankings, coalesce(n_entries, 0) AS n_entries, (SELECT maxyear FROM timebounds)::VARCHAR AS last_year
+    FROM pages JOIN (SELECT page_id, sum(CASE WHEN page_type = 'article' THEN 2 ELSE 1 END)::BIGINT AS n_rankings FROM ranked GROUP BY page_id) USING (page_id)
+    LEFT JOIN (SELECT page_id, count(*) AS n_entries FROM jumps GROUP BY page_id) USING (page_id) LEFT JOIN topics t ON t.topic_id = CASE page_type WHEN 'article' THEN parent_id ELSE page_id END"""
+_PAGE_DOCUMENTS = _PAGE_DOCUMENTS.replace("coalesce(page_title, '')", "coalesce(pages.page_title, '')").replace("translate(page_title", "translate(pages.page_title")
+_TOPTEN_DOCUMENTS = """SELECT 'toptens/' || CASE WHEN year = 0 THEN 'all' ELSE year::VARCHAR END || '/' || type || '/' || CASE WHEN topic_id = 0 THEN 'all' ELSE topic END || '.html' AS path, 'list' AS kind,
+    CASE WHEN year = 0 THEN 'All Time' ELSE year::VARCHAR END || ' Top Ten of ' || upper(type[1]) || type[2:] || CASE WHEN topic_id = 0 THEN '' ELSE ' for ' || upper(topic[1]) || topic[2:] END AS title,
+    CASE WHEN topic_id = 0 THEN 'all' ELSE topic END AS topic, 0::BIGINT AS n_rankings, len(pages)::BIGINT AS n_entries, '' AS last_year FROM topten_lists LEFT JOIN topics USING (topic_id)"""
+
+
+@query(_PAGE_DOCUMENTS, abstracts=True)
+def s14_page_documents(w):
+    return _seen_in(w.page_documents(), "page")
+
+
+@query(_TOPTEN_DOCUMENTS, abstracts=True)
+def s15_topten_documents(w):
+    return _seen_in(w.topten_documents(), "list")
+
+
+@query(f"SELECT path, count(*) AS n FROM (({_PAGE_DOCUMENTS}) UNION ALL ({_TOPTEN_DOCUMENTS})) GROUP BY path", abstracts=True)
 def s16_documents(w):
-    return w.documents()
+    """Every document's path; no two share one."""
+    return w.documents().groupBy("path").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l.year, l.type AS index, l.topic_id, t.position, t.page_id, p.page_title AS title, cut AS abstract FROM topten_lists l LEFT JOIN (SELECT * FROM toptens UNION ALL SELECT * FROM toptens_all) t USING (year, type, topic_id) LEFT JOIN pages p ON p.page_id = t.page_id LEFT JOIN (SELECT * FROM cuts WHERE nbytes = 512) c ON c.page_id = t.page_id", abstracts=True)
+def a17_annual_json(w):
+    """The rankings of each year as one JSON array, read again."""
+    j = documents.annual_rankings(w.topten_lists, w.pages).select("year", F.explode(F.from_json("json", documents.ANNUAL)).alias("r"))
+    return j.select("year", "r.index", "r.topic_id", F.explode_outer("r.items").alias("e")).select("year", "index", "topic_id", "e.position", "e.page_id", "e.title", "e.abstract")
+
+
+@query("SELECT page_id, page_title, page_type, parent_id, text AS page_abstract FROM pages LEFT JOIN (SELECT page_id, text FROM abstracts) USING (page_id)", abstracts=True)
+def s5_pages_csv(w):
+    """Pages with their abstracts, line feeds and quotes in them, written as CSV and read again."""
+    path = f"{shared_folder(w.raw_pages.sparkSession)}/pages-csv-{uuid.uuid4().hex}"
+    files.write_csv(files.pages_out(w.raw_pages), path)
+    return files.pages_in(files.read_csv(w.raw_pages.sparkSession, path, schema.PAGES_CSV)).select("page_id", "page_title", "page_type", "parent_id", "page_abstract")
+
+
+@query("SELECT page_id, user_id, row_number() OVER (PARTITION BY page_id ORDER BY user_id) AS place FROM contributions")
+def t7_adjacency_order(w):
+    """The graph's edges in order; a place is told by where the sorted rows stand."""
+    from pyspark.sql import Window
+
+    edges = w.contributions.select(F.col("page_id").alias("a"), F.col("user_id").alias("b"))
+    stood = graph.adjacency_order(edges).withColumn("at", F.monotonically_increasing_id())
+    return stood.select(F.col("a").alias("page_id"), F.col("b").alias("user_id"), (F.col("at") - F.min("at").over(Window.partitionBy("a")) + 1).alias("place"))
+
+
+@query("SELECT page_id, page_type, count(*) AS n_revisions, max(rev_serialid)::BIGINT AS last FROM pages JOIN revisions USING (page_id) GROUP BY ALL")
+def s19_bucketed_tables(w):
+    """Pages and revisions as bucketed tables; their join and count by page need no shuffle."""
+    spark = w.raw_pages.sparkSession
+    name = f"run_{uuid.uuid4().hex}"
+    w.save_tables(name, f"{shared_folder(spark)}/{name}")
+    opened = Warehouse.of_database(spark, name)
+    return opened.raw_pages.join(opened.revisions.select("page_id", "rev_serialid"), "page_id").groupBy("page_id", "page_type").agg(F.count("*").alias("n_revisions"), F.max("rev_serialid").cast("bigint").alias("last"))
+
+
+@query(
+    """SELECT rule, CASE rule WHEN 'k1' THEN (SELECT count(*) FROM articles WHERE page_id % 50 = 0) WHEN 'k2' THEN (SELECT count(*) FROM articles WHERE page_id % 50 = 0) WHEN 'k3' THEN (SELECT count(*) FROM revisions WHERE page_id % 70 = 0)
+    WHEN 'k4' THEN (SELECT count(*) FROM revisions WHERE page_id % 30 = 0) WHEN 'k5' THEN (SELECT count(*) FROM revisions WHERE page_id % 30 = 0) WHEN 'k6' THEN (SELECT count(*) FROM articles WHERE page_id % 40 = 0)
+    WHEN 'k7' THEN (SELECT count(*) FROM articles WHERE page_id % 60 = 0) WHEN 'title_length' THEN (SELECT count(*) FROM articles WHERE page_id % 50 = 0) ELSE (SELECT count(*) FROM articles WHERE page_id % 60 = 0) END AS n
+    FROM (SELECT unnest(['k1', 'k2', 'k3', 'k4', 'k5', 'k6', 'k7', 'title_length', 'page_type']) AS rule)"""
+)
+def k_planted(w):
+    """The integrity rules over data with planted faults of each kind."""
+    pages, revisions = w.raw_pages, w.revisions
+    articles = pages.where("page_type = 'article'")
+    twice = articles.where("page_id % 50 = 0").withColumns({"page_title": F.repeat(F.lit("x"), 600), "parent_id": F.lit(-5).cast("bigint")})
+    without = articles.where("page_id % 40 = 0").withColumn("page_id", -F.col("page_id") - 1_000_000_000)
+    drafts = articles.where("page_id % 60 = 0").withColumns({"page_id": -F.col("page_id"), "parent_id": F.lit(0).cast("bigint"), "page_type": F.lit("draft")})
+    nowhere = revisions.where("page_id % 30 = 0").withColumns({"page_id": -F.col("page_id") - 2_000_000_000, "rev_timestamp": F.lit(None).cast(revisions.schema["rev_timestamp"].dataType)})
+    dirty = pages.unionByName(twice).unionByName(without).unionByName(drafts)
+    return schema.violations(dirty, revisions.unionByName(revisions.where("page_id % 70 = 0")).unionByName(nowhere))
 
 
 @query(

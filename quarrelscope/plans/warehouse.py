@@ -29,6 +29,7 @@ class Warehouse:
 
     @classmethod
     def of_tables(cls, spark: SparkSession, sf_dir: str, abstracts: bool = False, materialise: bool = True) -> Warehouse:
+        """Of the star-schema tables of a folder; without abstracts, pages have null ones."""
         return cls(tables.pages(spark, sf_dir, abstracts), tables.revisions(spark, sf_dir), tables.edits(spark, sf_dir), sf_dir if materialise else None)
 
     def save(self, path: str) -> None:
@@ -36,6 +37,27 @@ class Warehouse:
         self.raw_pages.write.mode("overwrite").parquet(f"{path}/pages")
         self.revisions.write.mode("overwrite").partitionBy("rev_year").parquet(f"{path}/revisions")
 
+    def save_tables(self, database: str, location: str, buckets: int = 16) -> None:
+        """Pages and revisions as tables of a database at the location, bucketed and sorted by page, with statistics.
+
+        Joins and aggregates by page then need no shuffle of the revisions.
+        """
+        spark = self.raw_pages.sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
+        self.raw_pages.write.mode("overwrite").bucketBy(buckets, "page_id").sortBy("page_id").saveAsTable(f"{database}.pages")
+        self.revisions.write.mode("overwrite").bucketBy(buckets, "page_id").sortBy("page_id", "rev_serialid").saveAsTable(f"{database}.revisions")
+        for table in ("pages", "revisions"):
+            spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS FOR COLUMNS page_id")
+
+    @classmethod
+    def of_database(cls, spark: SparkSession, database: str) -> Warehouse:
+        """What save_tables() wrote."""
+        return cls(spark.table(f"{database}.pages"), spark.table(f"{database}.revisions"))
+
+    @staticmethod
+    def drop_tables(spark: SparkSession, database: str) -> None:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
     @classmethod
     def opened(cls, spark: SparkSession, path: str) -> Warehouse:
         """What save() wrote; its shared tables are kept under the path."""
@@ -153,15 +175,26 @@ class Warehouse:
     def page_infos(self) -> DataFrame:
         return documents.page_infos(self.pages, ranks.nested(self.ranked), documents.neighbours(self.pages, self.social_jumps))
 
-    def enrichment(self, saved: str | None = None) -> DataFrame:
-        """Word statistics by page: from a saved table (id, fields) if one is named, else from the abstracts."""
+    def enrichment(self, saved: str | None = None, bad_words: tuple[str, ...] = documents.BAD_WORDS, external: tuple[DataFrame, ...] = ()) -> DataFrame:
+        """Word statistics by page, of the whole, topics and articles, with those of external sources, which win.
+
+        saved: a table (id, fields) of statistics that were computed before, instead of the abstracts.
+        """
         if saved:
-            return documents.enriched(self.raw_pages, [self.raw_pages.sparkSession.read.parquet(saved)])
-        texts = self.raw_pages.where(F.col("page_abstract").isNotNull()).select(F.col("page_id").alias("id"), F.col("page_abstract").alias("text"))
-        counts = documents.word_counts(texts)
-        return documents.enriched(self.raw_pages, [documents.word_maps(counts, "n", "Word2Occur"), documents.word_maps(documents.tf_idf(counts), "tfidf", "Word2TFIDF")])
-
-    def documents(self, lang: str = "en") -> DataFrame:
-        """(path, data) of every page and every top-ten list."""
-        pages = documents.page_documents(self.page_infos, self.rankings, self.enrichment(), self.topic_names, lang)
-        return pages.unionByName(documents.topten_documents(self.topten_lists, self.pages, self.topic_names, lang))
+            sources = [self.raw_pages.sparkSession.read.parquet(saved)]
+        else:
+            texts = self.raw_pages.where(F.col("page_abstract").isNotNull()).select(F.col("page_id").alias("id"), F.col("page_abstract").alias("text"))
+            sources = documents.word_sources(texts, self.raw_pages, bad_words)
+        return documents.enriched(self.raw_pages, [*sources, *external])
+
+    def page_documents(self, lang: str = "en", home: str = "", fields: DataFrame | None = None, ordered: bool = False) -> DataFrame:
+        """(path, data) of every page.  fields: (page_id, fields), instead of the word statistics."""
+        return documents.page_documents(self.page_infos, self.rankings, self.enrichment() if fields is None else fields, self.topic_names, self.timebounds, lang, home, ordered)
+
+    def topten_documents(self, lang: str = "en", ordered: bool = False) -> DataFrame:
+        """(path, data) of every top-ten list."""
+        return documents.topten_documents(self.topten_lists, self.pages, self.topic_names, lang, ordered)
+
+    def documents(self, lang: str = "en", home: str = "", fields: DataFrame | None = None, ordered: bool = False) -> DataFrame:
+        """(path, data) of every page and every top-ten list; pages by id and then lists by year, if ordered."""
+        return self.page_documents(lang, home, fields, ordered).unionByName(self.topten_documents(lang, ordered))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import gzip
 import io
 import tarfile
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,11 +67,47 @@ def sampled(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
 
 
+#: Looks at pages and revisions while they are read, and may put others in their place.
+Process = Callable[[DataFrame, DataFrame], "tuple[DataFrame, DataFrame] | None"]
+
+
+def taken_in(pages: DataFrame, revisions: DataFrame, processes: Iterable[Process] = (), test_percent: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pages and revisions after the test mode (a share of the articles, with their revisions) and each process, in turn."""
+    if test_percent is not None:
+        article = F.col("page_type") == schema.ARTICLE
+        pages = sampled(pages.where(article), "page_id", test_percent).unionByName(pages.where(~article))
+        revisions = revisions.join(pages.select("page_id"), "page_id", "left_semi")
+    for process in processes:
+        pages, revisions = process(pages, revisions) or (pages, revisions)
+    return pages, revisions
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
-    """(path, data) rows as gzipped JSON lines, one file a task."""
+    """(path, data) rows as gzipped JSON lines, one file a task: a sink for any store."""
     documents.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
+def write_tree(documents: DataFrame, folder: str) -> None:
+    """A gzip file <folder>/<path>.gz for each (path, data); the folder must be one that all executors mount.
+
+    Each file is written beside its place and then moved there, so a task that is run again
+    leaves no half of one.
+    """
+
+    def write(rows: Iterator) -> None:
+        import os
+
+        for row in rows:
+            target = os.path.join(folder, f"{row.path}.gz")
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            aside = f"{target}.{uuid.uuid4().hex}"
+            with open(aside, "wb") as f:
+                f.write(gzip.compress(row.data.encode(), compresslevel=9, mtime=0))
+            os.replace(aside, target)
+
+    documents.select("path", "data").foreachPartition(write)
+
+
 def write_tar(documents: Iterable, target: str, prefix: str = "html") -> int:
     """A tar.gz of gzip members from rows (path, data), taken one at a time (use toLocalIterator()); returns how many."""
     n = 0
@@ -86,7 +123,10 @@ def write_tar(documents: Iterable, target: str, prefix: str = "html") -> int:
 
 @dataclass(frozen=True)
 class Options:
-    """What a run is told: edition, source, address, whether to keep tables, enrichment, test mode."""
+    """What a run is told: edition, source, address, whether to keep tables, enrichment, test mode.
+
+    source: net reads and preprocesses, savepoint goes on from the CSV files of an earlier run.
+    """
 
     lang: str = "en"
     source: str = "net"

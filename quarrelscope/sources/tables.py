@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, page_title) of the topic catalogue."""
     number = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("bigint")
-    return table(spark, sf_dir, "part").select(number.alias("page_id")).distinct().withColumn("page_title", F.concat_ws(" ", F.lit("Topic"), F.col("page_id").cast("string"), F.lit("things")))
+    return table(spark, sf_dir, "part").select(number.alias("page_id")).distinct().withColumn("page_title", F.concat(F.lit("Topic"), F.col("page_id").cast("string"), F.lit(" things")))
 
 
 def pages(spark: SparkSession, sf_dir: str, abstracts: bool = True) -> DataFrame:

@@ -1,16 +1,21 @@
 """Small hand-made inputs with values worked out by hand."""
 
 import datetime as dt
+import gzip
 import io
+import os
 import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarrelscope import program
 from quarrelscope.functions import text as X
 from quarrelscope.operators import documents, graph, polemic, ranks, topten, tree
 from quarrelscope.plans.warehouse import Warehouse
 from quarrelscope.sources import files, schema
+from quarrelscope.sources.store import Store
+from quarrelscope.streaming import editors
 
 ROOT = [(0, None, None, 0), (1, "Alpha things", None, 0), (2, "Beta things", None, 0), (10, "Ten", "a", 1), (11, "Eleven", None, 1), (12, "Twelve", "c", 2)]
 EDITS = [
@@ -31,8 +36,8 @@ def revisions(spark):
 
 
 @pytest.fixture(scope="module")
-def warehouse(pages, revisions):
-    return Warehouse(pages, revisions)
+def warehouse(pages, revisions, tmp_path_factory):
+    return Warehouse(pages, revisions, source=str(tmp_path_factory.mktemp("source")))
 
 
 def test_live_articles_and_creation_years(warehouse):
@@ -197,6 +202,120 @@ def test_saved_warehouse_gives_the_same_cube(spark, warehouse, tmp_path):
     assert rows(opened) == rows(warehouse)
 
 
+def test_bucketed_tables_need_no_shuffle_of_revisions(spark, warehouse, tmp_path):
+    warehouse.save_tables("fixture_db", str(tmp_path / "db"), 4)
+    try:
+        opened = Warehouse.of_database(spark, "fixture_db")
+        rows = lambda w: sorted(tuple(r) for r in w.counts.collect())
+        assert rows(opened) == rows(warehouse)
+        counted = opened.revisions.groupBy("page_id").count()
+        assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+        assert spark.sql("DESCRIBE EXTENDED fixture_db.revisions").where("col_name = 'Statistics'").count() == 1
+    finally:
+        Warehouse.drop_tables(spark, "fixture_db")
+    assert not spark.catalog.databaseExists("fixture_db")
+
+
+def test_store_follows_its_files_and_deletes(spark, tmp_path):
+    store, made = Store(), []
+
+    def make():
+        made.append(1)
+        return spark.range(len(made))
+
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    count = lambda: store.table(spark, str(tmp_path), "t", make).count()
+    assert [count(), count(), len(made)] == [1, 1, 1]
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert [count(), count(), len(made)] == [2, 2, 2]
+    path = store._known[spark.sparkContext.applicationId, str(tmp_path), "t"][0]
+    assert os.path.isdir(path) and store.forget(spark, str(tmp_path)) == 1 and not os.path.exists(path)
+    assert store.forget(spark) == 0 and count() == 3
+
+
+def test_processes_and_test_mode(spark, pages, revisions):
+    seen = []
+    watch = lambda p, r: seen.append(r.count())
+    no_bots = lambda p, r: (p, r.where("user_id != 100 or user_id is null"))
+    p, r = files.taken_in(pages, revisions, [watch, no_bots, watch])
+    assert seen == [7, 4] and p.count() == 6 and r.count() == 4
+    many = spark.range(1000, 3000).selectExpr("id as page_id", "'x' as page_title", "'a' as page_abstract", "1L as parent_id", "'article' as page_type").unionByName(pages.where("page_type != 'article'"))
+    p, r = files.taken_in(many, revisions, test_percent=10)
+    assert p.where("page_type != 'article'").count() == 3 and 100 < p.count() < 300
+    assert r.count() == 0
+
+
+def test_a_file_for_each_document(spark, warehouse, tmp_path):
+    files.write_tree(warehouse.documents(), str(tmp_path))
+    files.write_tree(warehouse.documents(), str(tmp_path))  # again: files are replaced
+    found = {os.path.relpath(os.path.join(d, f), tmp_path) for d, _, names in os.walk(tmp_path) for f in names}
+    assert found == {r.path + ".gz" for r in warehouse.documents().collect()}
+    assert "<h1>Ten</h1>" in gzip.decompress((tmp_path / "articles/Ten.html.gz").read_bytes()).decode()
+    files.write_documents(warehouse.documents(), str(tmp_path / "lines"))
+    assert {r.path for r in spark.read.json(str(tmp_path / "lines")).collect()} == {x.removesuffix(".gz") for x in found}
+
+
+def test_documents_come_in_order_and_name_times_and_words(spark, warehouse):
+    words = spark.createDataFrame([(0, {"Word2Occur": '{"of":2}'}), (10, {"BWord2Occur": '{"damn":1}'})], "id long, fields map<string,string>")
+    fields = warehouse.enrichment(external=(words,))
+    docs = list(warehouse.documents("it", "http://it.example.org", fields, ordered=True).toLocalIterator())
+    assert [d.path for d in docs][:6] == ["index.html", "categories/Alpha_things.html", "categories/Beta_things.html", "articles/Ten.html", "articles/Eleven.html", "articles/Twelve.html"]
+    assert len({d.path for d in docs}) == len(docs) and docs[-1].path.startswith("toptens/all/")
+    by = {d.path: d.data for d in docs}
+    assert 'const Word2Occur = {"of": 2};' in by["index.html"] and 'const address = "http://it.example.org";' in by["index.html"] and "ranking_fields" in by["index.html"]
+    assert 'const BWord2Occur = {"damn": 1};' in by["articles/Ten.html"] and "const Word2TFIDF" in by["articles/Ten.html"] and "ranking_fields" not in by["articles/Ten.html"]
+    assert all('"first": "2005-03-01T00:00:00Z"' in d and '"maxyear": 2006' in d for p, d in by.items() if not p.startswith("toptens"))
+
+
+def test_scripts_and_markup_are_escaped():
+    assert "</script>" not in documents._script({"a": "</script>\u2028"})
+    assert documents._entries([{"topic": '"', "title": "<b>", "abstract": "&"}]) == '<ol><li data-topic="&quot;"><cite>&lt;b&gt;</cite> &amp;</li></ol>'
+
+
+def test_program_from_tables_to_archive(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(program, "TEST_PERCENT", 20)
+    out, folder = str(tmp_path / "x.tar.gz"), str(tmp_path / "savepoint")
+    told = ["--tables", "/root/testdata/sf0.001", "--folder", folder, "--out", out, "--lang", "de", "--url", "http://%s.example.org"]
+    n = program.main([*told, "--test", "--words", "--keep"], spark)
+    with tarfile.open(out) as tar:
+        names = tar.getnames()
+        home = gzip.decompress(tar.extractfile("html/index.html.gz").read()).decode()
+    assert len(names) == len(set(names)) == n > 100 and 'lang="de"' in home and "http://de.example.org" in home and "const Word2Occur" in home
+    assert program.main([*told, "--source", "savepoint", "--out", out + "2"], spark) == n
+    with tarfile.open(out + "2") as tar:
+        assert tar.getnames() == names  # the saved statistics and the kept files give the same archive
+        assert gzip.decompress(tar.extractfile("html/index.html.gz").read()).decode() == home
+    assert not os.path.exists(folder)
+    with pytest.raises(SystemExit):
+        program.main(["--folder", folder], spark)
+    with pytest.raises(SystemExit):
+        program.main(["--source", "disk"], spark)
+
+
+def test_similarities_of_heavy_users_equal_all_pairs(spark):
+    import math
+    import random
+
+    random.seed(3)
+    edges = [(p, u, float(random.choice([1, 10, 55]))) for u in range(12) for p in random.sample(range(60), 50 if u < 2 else 5)]
+    df = spark.createDataFrame(edges, "page_id long, user_id long, weight double")
+    w = {(p, u): x for p, u, x in edges}
+    norm = {p: math.sqrt(sum(x * x for (q, _), x in w.items() if q == p)) for p, _ in w}
+    want = {(a, b): sum(w[a, u] * w[b, u] for u in range(12) if (a, u) in w and (b, u) in w) / norm[a] / norm[b] for a in norm for b in norm if a < b and any((a, u) in w and (b, u) in w for u in range(12))}
+    for block in (1000, 7):
+        got = {(r.a, r.b): r.similarity for r in graph.similarities(df, block).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
+
+
+def test_first_edits_of_a_stream(spark, tmp_path):
+    rows = [(1, 7, dt.datetime(2005, 1, 1)), (1, 7, dt.datetime(2005, 1, 3)), (1, 8, dt.datetime(2005, 1, 2)), (1, None, dt.datetime(2005, 1, 2)), (2, 7, dt.datetime(2006, 1, 1))]
+    spark.createDataFrame(rows, "page_id long, user_id long, rev_timestamp timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("page_id long, user_id long, rev_timestamp timestamp").parquet(str(tmp_path / "in"))
+    q = editors.first_edits(stream).writeStream.format("memory").queryName("first_edits").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted((r.page_id, r.user_id, r.year) for r in spark.table("first_edits").collect()) == [(1, 7, 2005), (1, 8, 2005), (2, 7, 2006)]
+
+
 def test_options():
     assert files.Options(lang="it").url() == "http://it.example.org"
     with pytest.raises(ValueError):
