@@ -62,9 +62,9 @@ def shingle_hashes(text: str, shingle: int) -> np.ndarray:
 def majority(h: np.ndarray) -> int:
     """Bits that are set in over half the hashes."""
     count = np.zeros(BITS, np.int64)
-    for at in range(0, len(h), 4096):
-        bits = np.unpackbits(h[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        count += bits.sum(axis=0, dtype=np.int32)
+    for at in range(0, len(h), 255):  # sums of so many bits fit a byte, which is many times as fast
+        bits = np.unpackbits(h[at : at + 255].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        count += bits.sum(axis=0, dtype=np.uint8)
     return int.from_bytes(np.packbits(2 * count > len(h)).tobytes(), "big")
 
 
@@ -240,13 +240,18 @@ def wide_fingerprint(text: str, shingle: int = WIDE_SHINGLE) -> tuple[list[int],
     h = np.unique(shingle_hashes(text, shingle))
     if not len(h):
         return [0] * WIDE_WORDS, [0] * WIDE_BANDS
-    words = [signed(majority(common.splitmix(h ^ salt))) for salt in _SALTS]
+    count, least = np.zeros(64 * WIDE_WORDS, np.int64), np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        least = np.array([(h * m).min() for m in _ODD], np.uint64).reshape(WIDE_BANDS, WIDE_ROWS)
+        for at in range(0, len(h), 255):  # sums of so many bits fit a byte, which is many times as fast
+            some = h[at : at + 255]
+            bits = np.unpackbits(common.splitmix(some[:, None] ^ _SALTS).astype(">u8").view(np.uint8), axis=1)
+            count += bits.sum(axis=0, dtype=np.uint8)
+            least = np.minimum(least, (some * _ODD[:, None]).min(axis=1))
+        words = np.packbits(2 * count > len(h)).view(">u8").astype(np.int64)
         key = np.arange(WIDE_BANDS, dtype=np.uint64)
         for k in range(WIDE_ROWS):
-            key = common.splitmix(key ^ least[:, k]) + np.uint64(k)
-    return words, key.view(np.int64).tolist()
+            key = common.splitmix(key ^ least[k::WIDE_ROWS]) + np.uint64(k)
+    return words.tolist(), key.view(np.int64).tolist()
 
 
 def _distances(fp: np.ndarray, other: np.ndarray) -> np.ndarray:

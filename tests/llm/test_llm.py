@@ -727,6 +727,68 @@ def test_wide_groups_and_one_of_each_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(0, 120, 2), 121]
 
 
+def test_wide_bucket_links_equal_all_pairs():
+    rng = np.random.default_rng(4)
+    fp = [rng.integers(0, 2**63, 4, dtype=np.uint64) for _ in range(40)]
+    for x in list(fp):
+        for n in (10, 30, 48, 55, 70, 90):
+            y = np.unpackbits(x.view(np.uint8))
+            y[rng.choice(256, n, replace=False)] ^= 1
+            fp.append(np.packbits(y).view(np.uint64))
+    fp = np.unique(np.array(fp), axis=0)
+    want, got = simhash.Forest(len(fp)), simhash.Forest(len(fp))
+    for i in range(len(fp)):
+        for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]).sum(axis=1) <= simhash.WIDE_BITS):
+            want.join(i, i + 1 + int(j))
+    for x, y in zip(*simhash.wide_bucket_links(fp)):
+        got.join(int(x), int(y))
+    assert [want.root(k) for k in range(len(fp))] == [got.root(k) for k in range(len(fp))]
+
+
+def test_large_buckets_in_blocks_give_the_same_groups(spark, monkeypatch):
+    random.seed(5)
+    base = [f"w{random.randrange(5000)}" for _ in range(150)]
+    texts = []
+    for k in range(60):
+        w = list(base if k < 40 else [f"v{k} {x}" for x in base])
+        for at in random.sample(range(len(w)), 2):
+            w[at] = f"other{k}"
+        texts.append(" ".join(w))
+    df = frame(spark, texts)
+    groups = lambda: {r.doc_id: r.lead.doc_id for r in simhash.wide_grouped(df).collect()}
+    prints = lambda: sorted(tuple(r) for r in simhash.report(df).collect())
+    one, two = groups(), prints()
+    monkeypatch.setattr(simhash, "BUCKET", 5)
+    assert groups() == one and prints() == two and {one[k] for k in range(40)} == {0}
+
+
+def test_tiling_of_texts_and_items_of_one_word():
+    bench = tiling.Benchmark([(1, "a " * 200), (2, "b c d e f g h")], 5)
+    got = [(i, n, sum(t.length for t in tiles)) for i, n, tiles in bench.leaks("a " * 60_000 + "b c d e f")]
+    assert got == [(1, 200, 200), (2, 7, 5)]
+    assert not list(tiling.Benchmark([(1, " ".join(f"w{k}" for k in range(100)))], 80).leaks(" ".join(f"w{k}" for k in range(79))))
+
+
+def test_leaks_of_repeated_and_long_rows(spark):
+    item = _words_of("item", 60)
+    long = _words_of("other", 150_000) + " " + item
+    docs = spark.createDataFrame([(1, long), (2, item), (2, item), (2, "clean"), (None, item)], "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.item_id) for r in tiling.leaks(docs, spark.createDataFrame([(7, item), (7, item), (None, item)], "item_id long, text string")).collect())
+    assert got == {(1, 7): 2, (1, None): 1, (2, 7): 4, (2, None): 2, (None, 7): 2, (None, None): 1}
+
+
+def _words_of(name, n):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+def test_any_text_gets_token_ids():
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(tokens.default_path()), tokens.encoder()
+    for s in (" " * 1_000_000, "\n" * 1_000_000, "a" * 300_000, (" " * 9_999 + "x") * 20, "!" * 300_000, "\u00a0" * 200_000):
+        assert e.ids(s).tolist() == t.encode(s, add_special_tokens=False).ids
+
+
 def test_components_on_chains_and_cycles(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 300), (300, 100), (7, 7), (900, 900)] + [(500, 500 + k) for k in range(1, 40)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -56,6 +56,63 @@ def test_near_copies_of_a_large_group_are_caught_whole(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {0, 9}
 
 
+def _benchmark(spark, folder, texts=("nothing of this stands anywhere in these documents at all",)):
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+
+CLASH = "_h long, _id long, _gone string, removed string, lines int, lead string, row int, fp string, node long, shard int"
+
+
+def test_stages_keep_rows_and_columns_apart(spark, tmp_path):
+    """Rows that share an id, null ids, repeated rows, columns named like the operators' own."""
+    notice = "A notice line that stands in a great many of these documents."
+    texts = {k: f"{_words(60, k)}\n{_words(30, k + k)}" for k in "abcdefgh"}
+    leak = _words(40, "leak")
+    rows = [(1, texts["a"]), (1, texts["b"]), (None, texts["c"]), (None, texts["d"]), (2, texts["e"] + "\n" + notice), (2, texts["f"] + "\n" + notice), (None, leak + " " + texts["g"]), (3, texts["h"]), (3, texts["h"]), (4, texts["h"]), (1, texts["g"] + leak), (9, None), (8, None)]
+    rows = [(i, t, "en", "s", len(t or ""), 7 * k, k, f"gone {k}", "r", 5, "l", 6, "f", -k, 1) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}")
+    _benchmark(spark, tmp_path, [leak])
+    by_k = lambda df: {r._id: r for r in df.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    before = {r["_id"]: r for r in docs.collect()}
+
+    def same_but(got, before, *changed):
+        for k, r in got.items():
+            assert {c: r[c] for c in docs.columns if c not in changed} == {c: before[k][c] for c in docs.columns if c not in changed}
+
+    for name in ("quality rules", "line dedup", "near duplicates", "decontamination"):
+        out = stages[name](spark, docs, str(tmp_path))
+        assert out.schema == docs.schema and stages[name](spark, docs.limit(0), str(tmp_path)).count() == 0
+    got = by_k(stages["quality rules"](spark, docs, str(tmp_path)))
+    assert set(got) == set(range(11))
+    same_but(got, before)
+    got = by_k(stages["line dedup"](spark, docs, str(tmp_path)))
+    assert set(got) == set(range(13))
+    same_but(got, before, "text", "n_chars")
+    cut = {k for k in got if got[k].text != before[k].text}
+    assert len(cut) == 1 and cut <= {4, 5} and all(got[k].text == before[k].text.removesuffix("\n" + notice) and got[k].n_chars == len(got[k].text) for k in cut)
+    assert got[11].text is None
+    got = by_k(stages["near duplicates"](spark, docs, str(tmp_path)))
+    assert set(got) - {7, 8} == {0, 1, 2, 3, 4, 5, 6, 12}
+    assert len(set(got) & {7, 8}) == 1
+    same_but(got, before)
+    got = by_k(stages["decontamination"](spark, docs, str(tmp_path)))
+    assert set(got) == set(range(13)) - {6, 10}
+    same_but(got, before)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in stages["packing"](spark, docs, str(tmp_path)).where("start = 0").collect()) == sorted((r[0] is None, r[0] or 0) for r in rows)
+
+
+def test_pipeline_over_nulls_long_texts_and_an_empty_table(spark, tmp_path):
+    long = "\n".join(_words(400, k) for k in range(120))
+    rows = [(1, None), (2, ""), (None, long), (4, long), (5, " " * 1_000_000), (6, _words(90, 6)), (6, _words(90, 6))]
+    for name, some in (("full", rows), ("none", [])):
+        folder = tmp_path / name
+        spark.createDataFrame([(i, t, None, None, None) for i, t in some], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+        _benchmark(spark, folder)
+        got = {r.doc_id for r in corpus_pipeline.run(spark, str(folder)).collect()}
+        assert got == ({None, 6} if some else set())
+
+
 def test_license_query_equals_its_sql(spark):
     sf = "/root/testdata/sf0.001"
     con = connect(sf)
