@@ -18,9 +18,12 @@ stay.
 Nothing is capped: a frequent segment's lines are sorted by signature and compared in
 blocks.  Copies of a line count once before the shuffle.
 
-Edge cases: null text is one empty line; an empty table gives an empty result; rows
-that repeat a document in full count as that document; rows that share an id only are
-kept apart; a null id sorts first and comes back as null.
+Edge cases: null text is one empty line and stays null where lines are cut; an empty table
+gives an empty result; rows that repeat a document in full count as that document; rows
+that share an id only are kept apart, the one of lesser text hash being the earlier; a
+null id sorts first and comes back as null; texts and lines of any length are taken whole;
+a class is named by its least line hash, and of several lines of one document the first
+stays (there are no other ties); other columns stay as they are, whatever they are called.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from .components import components
 MAX_EDITS, MIN_CHARS, MIN_DOCS = 2, 24, 5
 #: Up to so many candidate lines (8 bytes each) are broadcast to fetch their texts; more are joined.
 BROADCAST_LINES = 500_000
-FLUSH_ROWS, PAIRS, SEEN = 1_500_000, 1 << 20, 1_000_000
+FLUSH_ROWS, PAIRS, SEEN = 800_000, 1 << 19, 500_000
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}

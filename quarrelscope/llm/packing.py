@@ -11,8 +11,10 @@ nowhere is cut to fill the roomiest sequences.  A group has no sequence more tha
 tokens need, so its padding is less than one sequence in GROUP_TOKENS tokens.
 
 Each document ends with END_ID; an empty or null text is that id alone.  Repeated
-rows are packed one by one.  Sequence ids are unique over tasks (task number in the
-high bits) and independent of data.
+rows are packed one by one, null ids stay null, texts of any length are taken whole; of
+equally long documents the earlier row comes first, of equally cheap sequences the one of
+lesser number; other columns are not looked at; an empty table gives no piece.  Sequence
+ids are unique over tasks (task number in the high bits) and independent of data.
 """
 
 from __future__ import annotations

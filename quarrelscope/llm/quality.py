@@ -31,8 +31,10 @@ from . import common
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: The order is estimated on at most so many documents, one in SAMPLE_EVERY by the hash of id and text; results don't depend on it.
+#: The order is estimated on at most so many documents, one in SAMPLE_EVERY by the hash of the text; results don't depend on it.
 SAMPLE_ROWS, SAMPLE_EVERY = 400, 16
+#: Longer documents don't serve as samples, so that the driver holds a bounded amount.
+SAMPLE_CHARS = 100_000
 _SYMBOLS, _CAPITALS, _SMALL = b"#*$%&|<>", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _rng = np.random.default_rng(9)
 _WORD_VALUES = _rng.integers(1, 2**63, 1 << 16, dtype=np.uint64)
@@ -166,7 +168,7 @@ class Cascade:
 def fitted(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS, text_col: str = "text", every: int = SAMPLE_EVERY) -> Cascade:
     """A cascade ordered on at most sample_rows documents, whole."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(text.alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(every)) == 0).limit(sample_rows).toLocalIterator()
+    rows = df.select(text.alias("t")).where((F.pmod(F.xxhash64("t"), F.lit(every)) == 0) & (F.length("t") <= SAMPLE_CHARS)).limit(sample_rows).collect()
     return Cascade(rules).fit([r.t for r in rows])
 
 
@@ -205,6 +207,28 @@ def kept(df: DataFrame, cascade: Cascade | None = None) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def oracle_sql() -> str:
+    """SQL for :func:`measured` with the production rules, over documents of distinct ids."""
+    blank = r"[^\x20\x09-\x0D]"
+    count = lambda what: f"length(regexp_replace(text, '[^{what}]', '', 'g'))"
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, text, regexp_extract_all(text, '{blank}+') AS w FROM docs),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS n FROM places WHERE i + {WINDOW - 1} <= len(w)),
+again AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, (SELECT unnest(range({WINDOW})) AS k) WHERE n > 1 GROUP BY doc_id),
+per_word AS (SELECT doc_id, sum(length(w[i])) AS word_chars, count(*) FILTER (w[i] = w[i + 1]) AS n_stutters FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{blank}') GROUP BY doc_id),
+m AS (SELECT doc_id, len(w) AS n_words, coalesce(word_chars, 0) AS word_chars, {count('#*$%&|<>')} AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_stutters, 0) AS n_stutters, {count('!')} AS n_bangs, {count('A-Z')} AS n_capitals, {count('a-z')} AS n_small
+  FROM words LEFT JOIN again USING (doc_id) LEFT JOIN per_word USING (doc_id) LEFT JOIN lines USING (doc_id))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words OR 10 * n_symbols > 3 * n_words OR word_chars NOT BETWEEN 2 * n_words AND 20 * n_words
+    OR n_lines >= 4 AND 10 * n_dup_lines > 6 * n_lines OR 10 * n_stutters > 3 * n_words OR 2 * n_capitals > n_small + n_capitals AND 3 * n_bangs > n_words) AS kept
+FROM m"""
+
+
 def rule_report(df: DataFrame, cascade: Cascade | None = None) -> list[tuple[str, float, float]]:
     """(rule, cost in seconds, share rejected) in the order of the cascade."""
     c = cascade or fitted(df)

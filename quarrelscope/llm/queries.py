@@ -63,4 +63,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_html": op10_html,
 }
-ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op9_quality": quality.oracle_sql()}

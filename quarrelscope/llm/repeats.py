@@ -21,12 +21,15 @@ strings with one anchor form a context (LENGTH to 2 * LENGTH - GRAM bytes).
 
 Rows travel as compressed arrays, dealt by hash; a batch sends an anchor that it
 holds many times, or a context, once.  No step holds more than its share of the
-shards, and a very frequent anchor's contexts are split by what follows it.
-
-Edge cases: null text is empty; texts shorter than LENGTH stay; rows that repeat a
-document in full are that document and give equal results; rows that share an id
-only are kept apart; a null id sorts first and comes back as null; an empty table
-gives an empty result.
+shards.  The contexts of an anchor that occurs HOT times or more are cut again, by a
+second anchor of another hash, and dealt by both, so that they are many tasks' work;
+equal strings still meet.  What is large even so is split by string inside its task.
+
+Edge cases: null text is empty; texts shorter than LENGTH stay; texts of any length are
+read whole, in parts; rows that repeat a document in full are that document and give equal
+results; rows that share an id only are kept apart, the one of lesser text hash coming
+first (ties of equal strings fall to the earlier place in it); a null id sorts first and
+comes back as null; other columns are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ from . import common
 LENGTH, GRAM = 100, 28
 #: Texts are read in parts of at most this many bytes, which overlap by LENGTH - 1.
 PART_BYTES, FLUSH_ANCHORS, CHUNK_BYTES, SEEN = 1 << 20, 1_000_000, 1 << 20, 1_000_000
+#: An anchor that occurs so often is cut again; its key has the top bit set.
+HOT, _HOT_BIT = 20_000, np.uint64(1 << 63)
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
@@ -86,10 +91,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables["up"], _tables["down"]
 
 
-def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, shift, windows) of each run of strings with one anchor.
 
     start: the run's first string; shift: from there to the anchor; windows: strings in the run.
+    salt: another one chooses other anchors.
     """
     n = len(data) - length + 1
     if n <= 0:
@@ -99,7 +105,7 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     with np.errstate(over="ignore"):
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) * up[: len(code)], out=total[1:])
-        h = common.splitmix((total[gram:] - total[:-gram]) * down[: len(code) - gram + 1])
+        h = common.splitmix(((total[gram:] - total[:-gram]) * down[: len(code) - gram + 1]) ^ np.uint64(salt))
     # the leftmost minimum: the hash's upper bits, then the place
     least = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
     wide, size = least, 1
@@ -239,6 +245,7 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
             _, own = blobs.popitem()
             keys = np.sort(np.concatenate([_unpacked(x, "<u8", _ROW, _DOC)[0] for x in own]))
             again = np.unique(keys[1:][keys[1:] == keys[:-1]])
+            hot = np.searchsorted(keys, again, "right") - np.searchsorted(keys, again, "left") >= HOT
             del keys
             held, n, docs_before = [], 0, 0
 
@@ -256,7 +263,7 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
                 hit = np.flatnonzero(again[np.minimum(at, len(again) - 1)] == key) if len(again) else np.zeros(0, np.int64)
                 if not len(hit):
                     continue
-                key, rows = key[hit], rows[hit]
+                key, rows = np.where(hot[at[hit]], key[hit] | _HOT_BIT, key[hit]), rows[hit]
                 rows["doc"] += docs_before
                 held.append((key, rows, who))
                 n, docs_before = n + len(key), docs_before + len(who)
@@ -287,6 +294,14 @@ def _spans_out(spans: list[tuple[int, int, int, int]], shards: int) -> Iterator[
         yield _rows([s], [TEXT], [0], [0], [_packed(a[at])])
 
 
+_SECOND = 0x2545F4914F6CDD1D
+
+
+def _both(one: int, other: int) -> int:
+    """The key of what has both anchors."""
+    return int.from_bytes(xxhash.xxh3_64_digest(one.to_bytes(8, "big") + other.to_bytes(8, "big")), "big")
+
+
 def _contexts(tagged: DataFrame, shards: int, length: int) -> DataFrame:
     """Contexts of repeated anchors by the shard of the anchor (kind ARRAYS), and spans that are settled (kind TEXT)."""
 
@@ -334,8 +349,13 @@ def _contexts(tagged: DataFrame, shards: int, length: int) -> DataFrame:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(mark)
-                held.append((k, doc_id, h, start, shift, context))
-                size += len(context)
+                if k >> 63:
+                    second = zip(*(x.tolist() for x in anchors(context, length, salt=_SECOND)))
+                    parts_ = [(_both(k, k2), start + s2, shift2, context[s2 : s2 + n2 - 1 + length]) for k2, s2, shift2, n2 in second]
+                else:
+                    parts_ = [(k, start, shift, context)]
+                held += [(k2, doc_id, h, s2, shift2, c) for k2, s2, shift2, c in parts_]
+                size += sum(len(c) for *_, c in parts_)
             if size >= 16 * CHUNK_BYTES:
                 yield from flushed()
                 held, size = [], 0
@@ -371,16 +391,14 @@ def _settled(contexts: list[bytes], places: np.ndarray, length: int) -> Iterator
 def _split(contexts: list[bytes], places: np.ndarray, length: int, limit: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Parts of at most about limit bytes in which all equal strings still meet: strings go by their hash."""
     n_parts = -(-sum(map(len, contexts)) * 4 // limit)
-    for part in range(n_parts):
-        some, where = [], []
-        for c, p in zip(contexts, places):
-            for w in range(len(c) - length + 1):
-                x = c[w : w + length]
-                if xxhash.xxh3_64_intdigest(x) % n_parts == part:
-                    some.append(x)
-                    where.append((p["doc_id"], p["h"], p["start"] + w, 0))
-        if some:
-            yield some, np.array(where, _SPAN)
+    at = [(k, w) for k, c in enumerate(contexts) for w in range(len(c) - length + 1)]
+    part = np.fromiter((xxhash.xxh3_64_intdigest(contexts[k][w : w + length]) % n_parts for k, w in at), np.int64, len(at))
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(n_parts + 1))
+    for p in range(n_parts):
+        own = [at[k] for k in order[cuts[p] : cuts[p + 1]].tolist()]
+        if own:
+            yield [contexts[k][w : w + length] for k, w in own], np.array([(places[k]["doc_id"], places[k]["h"], places[k]["start"] + w, 0) for k, w in own], _SPAN)
 
 
 def _spans(dealt: DataFrame, shards: int, length: int) -> DataFrame:

@@ -13,12 +13,14 @@ bits.  Inside a bucket the precomputed distances to PIVOTS reference fingerprint
 the pruning: the bucket is sorted by the first coordinate, each fingerprint meets
 the window within MAX_BITS of it, pairs with a larger difference in any coordinate
 are discarded (triangle inequality), and the survivors are verified bit by bit.
-A bucket's links go out as a forest, never as all pairs of a group.
+A bucket's links go out as a forest, never as all pairs of a group; a bucket of more than
+BUCKET fingerprints is cut into blocks, of which every two are one task's work.
 
 Edge cases: null or empty texts have fingerprint zero, which links like any other;
-texts of fewer words than a shingle are one shingle; repeated rows share their
-fingerprint; an empty table gives an empty result; a null id stays null and counts as
-the smallest.
+texts of fewer words than a shingle are one shingle; texts of any length are taken whole;
+a bit set in just half the hashes (a tie) is 0; repeated rows share their fingerprint; an
+empty table gives an empty result; a null id stays null and counts as the smallest; other
+columns are not looked at, or kept as they are by :func:`kept`.
 """
 
 from __future__ import annotations

@@ -529,6 +529,22 @@ def test_repeats_in_parts_and_chunks(spark, monkeypatch):
     assert windows == list(range(len(data) - 99))
 
 
+def test_repeats_of_hot_anchors_are_cut_again(spark, monkeypatch):
+    """One passage in many documents, each time with other words around it."""
+    random.seed(14)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
+    core = " ".join(word() for _ in range(8))
+    texts = [" ".join([*(word() for _ in range(20)), core, *(word() for _ in range(20))]) for _ in range(60)]
+    texts += [t[:40] + t[60:] for t in texts[:20]] + texts[:5] + ["x".join(word() for _ in range(60)) + core + core]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(repeats, "HOT", 3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.report(df).collect()}
+    assert got == _repeats_brute([(d, t.encode()) for d, t in enumerate(texts)])
+    data = texts[0].encode()
+    windows = sorted(s + k for _, s, _, n in zip(*(x.tolist() for x in repeats.anchors(data, salt=7))) for k in range(n))
+    assert windows == list(range(len(data) - 99))
+
+
 # 6
 
 
