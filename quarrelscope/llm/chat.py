@@ -132,26 +132,31 @@ def _id(value) -> str:
     return value if isinstance(value, str) and not _LONE.search(value) else canonical(value)
 
 
-def events(role: str | None, text: str | None, schemas: dict) -> list[tuple]:
-    """(kind, call_id, name, depends_on, errors, json) of each event of a message."""
+def events(role: str | None, text: str | None, schemas: dict, tools: bool | None = None) -> list[tuple]:
+    """(part, kind, call_id, name, depends_on, errors, json) of each event of a message.
+
+    tools: only calls and results (True), or only the others (False).
+    """
     data = None
     if text and text.lstrip()[:1] == "{":
         try:
             data = loaded(text)
-            return _events(role, text, data, schemas)
+            return _events(role, text, data, schemas, tools)
         except (ValueError, RecursionError):
             data = None
-    return _events(role, text, data, schemas)
+    return _events(role, text, data, schemas, tools)
 
 
-def _events(role: str | None, text: str | None, data, schemas: dict) -> list[tuple]:
+def _events(role: str | None, text: str | None, data, schemas: dict, tools: bool | None) -> list[tuple]:
     if not isinstance(data, dict) or not ("tool_call_id" in data or isinstance(data.get("tool_calls"), list)):
-        return [("message", None, None, [], [], canonical({"role": role, "content": text}))]
+        return [] if tools else [(0, "message", None, None, [], [], canonical({"role": role, "content": text}))]
     if "tool_call_id" in data:
         own = _id(data["tool_call_id"])
-        return [("result", own, None, [], [], canonical({"role": role, "tool_call_id": own, "content": data.get("content")}))]
-    out = [("message", None, None, [], [], canonical({"role": role, "content": data.get("content")}))]
-    for call in data["tool_calls"]:
+        return [] if tools is False else [(0, "result", own, None, [], [], canonical({"role": role, "tool_call_id": own, "content": data.get("content")}))]
+    out = [] if tools else [(0, "message", None, None, [], [], canonical({"role": role, "content": data.get("content")}))]
+    if tools is False:
+        return out
+    for part, call in enumerate(data["tool_calls"], 1):
         call = call if isinstance(call, dict) else {}
         inner = call.get("function") if isinstance(call.get("function"), dict) else call
         name, arguments, errors = inner.get("name"), inner.get("arguments", {}), []
@@ -167,15 +172,15 @@ def _events(role: str | None, text: str | None, data, schemas: dict) -> list[tup
         needs = call.get("depends_on") or []
         needs = sorted({*map(_id, needs if isinstance(needs, list) else [needs]), *_references(arguments)})
         own = _id(call["id"]) if "id" in call else None
-        out.append(("call", own, _escaped(name) if isinstance(name, str) else canonical(name), needs, errors, canonical({"role": role, "id": own, "name": name, "arguments": arguments})))
+        out.append((part, "call", own, _escaped(name) if isinstance(name, str) else canonical(name), needs, errors, canonical({"role": role, "id": own, "name": name, "arguments": arguments})))
     return out
 
 
 EVENTS = "conv_id bigint, turn bigint, role string, part int, kind string, call_id string, name string, depends_on array<string>, errors array<string>, json string"
 
 
-def parsed(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
-    """The events of every message, columns of EVENTS."""
+def parsed(messages: DataFrame, schemas: dict | None = None, tools: bool | None = None) -> DataFrame:
+    """The events of every message, columns of EVENTS; tools: see :func:`events`."""
     schemas = schemas or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +189,7 @@ def parsed(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
         for b in common.small(batches, 2048):
             rows = []
             for conv, turn, role, text in zip(*(b.column(k).to_pylist() for k in range(4))):
-                for part, (kind, call_id, name, needs, errors, out) in enumerate(events(role, text, schemas)):
+                for part, kind, call_id, name, needs, errors, out in events(role, text, schemas, tools):
                     rows.append((conv, turn, role, part, kind, call_id, name, needs, errors, out))
             if rows:
                 yield common.batch(schema, *zip(*rows))
@@ -318,21 +323,25 @@ def levels(tools: DataFrame, links: DataFrame, local_edges: int = LOCAL_EDGES) -
 
 
 def linked(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
-    """Every event with its link, place in the order, validity and canonical JSON."""
-    every = parsed(messages, schemas)
-    node = ["conv_id", "turn", "part"]
-    tools = common.written(every.where("kind != 'message'").drop("json", "role"), "chat-tools")
+    """Every event with its link, place in the order, validity and canonical JSON.
+
+    Only calls and results are shuffled; other messages wait for nothing and pass by.
+    """
+    node, none = ["conv_id", "turn", "part"], F.lit(None).cast("bigint")
+    plain = parsed(messages, schemas, False).select(*node, "role", "kind", "call_id", "name", F.lit(0).alias("level"), F.col("turn").alias("order_turn"), none.alias("linked_turn"), F.lit(True).alias("valid"), "errors", "json")
+    tools = common.written(parsed(messages, schemas, True), "chat-tools")
     if tools.isEmpty():
-        none = F.lit(None).cast("bigint")
-        return every.select(*node, "role", "kind", "call_id", "name", F.lit(0).alias("level"), F.col("turn").alias("order_turn"), none.alias("linked_turn"), F.lit(True).alias("valid"), "errors", "json")
+        return plain
     links = common.written(_links(tools), "chat-links")
     order = levels(tools, links)
     back = links.groupBy("conv_id", "call_id", F.col("call_turn").alias("turn"), F.col("call_part").alias("part")).agg(F.min("turn").alias("linked_turn"))
     other = links.select(*node, "call_id", F.col("call_turn").alias("linked_turn")).unionByName(back)
-    out = every.join(order, node, "left").join(other, [*node, "call_id"], "left")
+    out = tools.join(order, node, "left").join(other, [*node, "call_id"], "left")
     alone = (F.col("kind") == "result") & F.col("linked_turn").isNull()
     errors = F.when(alone, F.array_append("errors", F.lit("no such call"))).otherwise(F.col("errors"))
-    return out.select(*node, "role", "kind", "call_id", "name", F.coalesce("level", F.lit(0)).alias("level"), F.coalesce("order_turn", "turn").alias("order_turn"), "linked_turn", ((F.size(errors) == 0) & (F.coalesce("level", F.lit(0)) >= 0)).alias("valid"), errors.alias("errors"), "json")
+    level = F.coalesce("level", F.lit(0))
+    out = out.select(*node, "role", "kind", "call_id", "name", level.alias("level"), F.coalesce("order_turn", "turn").alias("order_turn"), "linked_turn", ((F.size(errors) == 0) & (level >= 0)).alias("valid"), errors.alias("errors"), "json")
+    return plain.unionByName(out)
 
 
 def report(messages: DataFrame, schemas: dict | None = None) -> DataFrame:
