@@ -123,10 +123,12 @@ def scan(files: DataFrame, templates=None, min_cosine: float = MIN_COSINE) -> Da
     own = common.written(own.select("doc_id", "directory", F.col("best.license").alias("own"), (-F.col("best.order")).alias("own_score"), (~F.col("best.part")).alias("is_file")), "license-own")
     speaks = own.where("is_file").groupBy("directory").agg(F.min(F.struct((-F.col("own_score")).alias("order"), "doc_id", F.col("own").alias("license"))).alias("best"))
     speaks = speaks.select(F.col("directory").alias("from_directory"), F.col("best.license").alias("given"), (-F.col("best.order")).alias("given_score"))
-    directories = files.select("directory").distinct()
-    up = directories.select("directory", F.posexplode(ancestors(F.col("directory"))).alias("distance", "from_directory"))
-    near = up.join(speaks, "from_directory").groupBy("directory").agg(F.min_by(F.struct("from_directory", "given", "given_score"), "distance").alias("near")).select("directory", "near.*")
-    out = files.select("doc_id", "directory").join(near, "directory", "left").alias("f").join(own.alias("o"), F.col("f.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("f.directory") == F.col("o.directory")), "left")
+    directories = common.written(files.groupBy("directory").agg(F.count("*").alias("n")), "license-directories")
+    up = directories.select("directory", "n", F.posexplode(ancestors(F.col("directory"))).alias("distance", "from_directory"))
+    near = up.join(speaks, "from_directory").groupBy("directory", "n").agg(F.min_by(F.struct("from_directory", "given", "given_score"), "distance").alias("near")).select("directory", "n", "near.*")
+    near = common.written(near, "license-near")
+    total = directories.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = common.joined(files.select("doc_id", "directory"), near, "directory", "n", total, "left").alias("f").join(own.alias("o"), F.col("f.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("f.directory") == F.col("o.directory")), "left")
     origin = F.when(F.col("is_file"), "license file").when(F.col("own").isNotNull(), "notice").when(F.col("given").isNotNull(), "inherited").otherwise("none")
     return out.select("f.doc_id", "f.directory", F.coalesce("own", "given").alias("license"), F.coalesce("own_score", "given_score").alias("score"), origin.alias("origin"), F.when(F.col("own").isNull(), F.col("from_directory")).alias("from_directory"))
 
