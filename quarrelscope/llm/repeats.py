@@ -105,7 +105,8 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM, salt: int = 0)
     with np.errstate(over="ignore"):
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum((code.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) * up[: len(code)], out=total[1:])
-        h = common.splitmix(((total[gram:] - total[:-gram]) * down[: len(code) - gram + 1]) ^ np.uint64(salt))
+        h = (total[gram:] - total[:-gram]) * down[: len(code) - gram + 1]
+        h = common.splitmix(h ^ np.uint64(salt) if salt else h)
     # the leftmost minimum: the hash's upper bits, then the place
     least = (h >> np.uint64(24) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
     wide, size = least, 1
@@ -350,12 +351,12 @@ def _contexts(tagged: DataFrame, shards: int, length: int) -> DataFrame:
                     seen.clear()
                 seen.add(mark)
                 if k >> 63:
-                    second = zip(*(x.tolist() for x in anchors(context, length, salt=_SECOND)))
-                    parts_ = [(_both(k, k2), start + s2, shift2, context[s2 : s2 + n2 - 1 + length]) for k2, s2, shift2, n2 in second]
+                    for k2, s2, shift2, n2 in zip(*(x.tolist() for x in anchors(context, length, salt=_SECOND))):
+                        held.append((_both(k, k2), doc_id, h, start + s2, shift2, context[s2 : s2 + n2 - 1 + length]))
+                        size += n2 - 1 + length
                 else:
-                    parts_ = [(k, start, shift, context)]
-                held += [(k2, doc_id, h, s2, shift2, c) for k2, s2, shift2, c in parts_]
-                size += sum(len(c) for *_, c in parts_)
+                    held.append((k, doc_id, h, start, shift, context))
+                    size += len(context)
             if size >= 16 * CHUNK_BYTES:
                 yield from flushed()
                 held, size = [], 0
