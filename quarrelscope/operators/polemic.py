@@ -34,6 +34,26 @@ def dominance(cells: DataFrame) -> DataFrame:
     return by_conflict.withColumn("count", F.sum("count").over(up))
 
 
+def dominating(cells: DataFrame) -> DataFrame:
+    """(year, popularity, conflict, count) as :func:`dominance`, of the cells that exist only.
+
+    The popularities up to p are a union of blocks [k * 2**l, (k + 1) * 2**l), one for each bit
+    of p + 1.  Each cell is added to its blocks, a logarithmic number, and summed there by
+    falling conflict; so nothing is as large as all popularities by all conflicts of a year.
+    """
+    one = F.lit(1).cast("bigint")
+    highest = cells.agg(F.ceil(F.log2(F.max("popularity") + 2)).cast("int").alias("_top"))  # one row
+    levelled = cells.crossJoin(F.broadcast(highest)).withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_top"))))
+    block = lambda c: F.call_function("shiftright", c, F.col("_level"))
+    own, upto = block(F.col("popularity")), block(F.col("popularity") + one)
+    keys = ["year", "_level", "_block", "conflict"]
+    sources = levelled.where(own % 2 == 0).groupBy("year", "_level", own.alias("_block"), "conflict").agg(F.sum("count").alias("_n"))
+    asked = levelled.where(upto % 2 == 1).select("year", "_level", (upto - one).alias("_block"), "conflict", "popularity")
+    both = sources.select(*keys, "_n", F.lit(None).cast("bigint").alias("popularity")).unionByName(asked.select(*keys, F.lit(0).cast("bigint").alias("_n"), "popularity"))
+    sums = both.withColumn("_n", F.sum("_n").over(Window.partitionBy("year", "_level", "_block").orderBy(F.desc("conflict"))))
+    return sums.where(F.col("popularity").isNotNull()).groupBy("year", "popularity", "conflict").agg(F.sum("_n").alias("count"))
+
+
 def untimed(pairs: DataFrame, dominated: DataFrame, live: DataFrame) -> DataFrame:
     """(page_id, year, weight): (conflict / popularity) * log10(articles / dominating articles)."""
     weight = F.col("conflict") / F.col("popularity") * F.log10(F.col("totalpagecount").cast("double") / F.col("count"))

@@ -111,7 +111,7 @@ class Warehouse:
 
     @cached_property
     def untimed(self) -> DataFrame:
-        return polemic.untimed(self.paired, self.dominance, self.live_articles)
+        return polemic.untimed(self.paired, polemic.dominating(self.histogram), self.live_articles)
 
     @cached_property
     def time_weights(self) -> DataFrame:

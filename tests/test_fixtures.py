@@ -108,6 +108,8 @@ def test_dominance_equals_all_pairs(spark):
     cells = polemic.histogram(spark.createDataFrame(points, "page_id long, year int, popularity long, conflict long"))
     for r in polemic.dominance(cells).collect():
         assert r["count"] == sum(y == r.year and p <= r.popularity and c >= r.conflict for _, y, p, c in points)
+    got = {(r.year, r.popularity, r.conflict): r["count"] for r in polemic.dominating(cells).collect()}
+    assert got == {(y, p, c): sum(y == z and q <= p and d >= c for _, z, q, d in points) for _, y, p, c in points}
 
 
 def _truncate(s, limit):
