@@ -16,9 +16,8 @@ def test_query_equals_its_sql(spark, con, name):
     same(registry.QUERIES[name](spark, SF), con, registry.ORACLE_SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
-def test_query_without_sql_has_rows(spark, name):
-    assert registry.QUERIES[name](spark, SF).count() > 0
+def test_every_query_has_sql():
+    assert set(registry.ORACLE_SQL) == set(registry.QUERIES)
 
 
 def test_entry(spark):
