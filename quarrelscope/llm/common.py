@@ -127,8 +127,8 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
 
 
 def dealt(df: DataFrame, key: str = "shard") -> DataFrame:
-    """Shuffle blobs to the task of their shard number.  Each blob is bounded by one input batch."""
-    return df.repartition(n_shards(df), key)
+    """Shuffle blobs to the task of their shard number, sorted by it: a task may get several shards, and holds one at a time.  Each blob is bounded by one input batch."""
+    return df.repartition(n_shards(df), key).sortWithinPartitions(key)
 
 
 def row_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, list[pa.RecordBatch]]]:
@@ -164,6 +164,19 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def blobs(schema: pa.Schema, rows: Iterable[tuple], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows whose last field is bytes, in batches of about so many bytes: a batch for each blob would cost more than the blob."""
+    held, n = [], 0
+    for row in rows:
+        held.append(row)
+        n += len(row[-1])
+        if n >= size:
+            yield batch(schema, *zip(*held))
+            held, n = [], 0
+    if held:
+        yield batch(schema, *zip(*held))
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix, vectorised."""
     x = x.astype(np.uint64, copy=True)

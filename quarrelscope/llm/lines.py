@@ -16,7 +16,8 @@ lines of MIN_CHARS or more, in at least MIN_DOCS for shorter ones.  Blank lines
 stay.
 
 Nothing is capped: a frequent segment's lines are sorted by signature and compared in
-blocks.  Copies of a line count once before the shuffle.
+blocks.  Copies of a line count once before the shuffle.  A task may get several shards
+of keys and holds one at a time.
 
 Edge cases: null text is one empty line and stays null where lines are cut; an empty table
 gives an empty result; rows that repeat a document in full count as that document; rows
@@ -210,10 +211,8 @@ def candidates(docs: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS)
             shard = (key % np.uint64(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
-                at = order[cuts[s] : cuts[s + 1]]
-                if len(at):
-                    yield common.batch(schema, [s], [len(at)], [key[at].tobytes() + line[at].tobytes() + sig[at].tobytes() + role[at].tobytes()])
+            each = ((s, order[cuts[s] : cuts[s + 1]]) for s in range(shards) if cuts[s] < cuts[s + 1])
+            yield from common.blobs(schema, ((s, len(at), key[at].tobytes() + line[at].tobytes() + sig[at].tobytes() + role[at].tobytes()) for s, at in each))
 
         for b in common.small(batches, 4096, 2 << 20):
             new: list[str] = []
@@ -240,14 +239,14 @@ def candidates(docs: DataFrame, k: int = MAX_EDITS, min_chars: int = MIN_CHARS)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        parts: dict[int, list] = {}
-        for b in batches:
-            for s, n, raw in zip(*(b.column(c).to_pylist() for c in range(3))):
-                raw = np.frombuffer(raw, np.uint8)
-                parts.setdefault(s, []).append((raw[: 8 * n].view(np.uint64), raw[8 * n : 16 * n].view(np.int64), raw[24 * n :], raw[16 * n : 24 * n].reshape(n, 8)))
-        while parts:
-            _, own = parts.popitem()
+        for _, blobs in common.row_groups(batches, "shard"):
+            own = []
+            for b in blobs:
+                for n, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    raw = np.frombuffer(raw, np.uint8)
+                    own.append((raw[: 8 * n].view(np.uint64), raw[8 * n : 16 * n].view(np.int64), raw[24 * n :], raw[16 * n : 24 * n].reshape(n, 8)))
             key, line, role, sig = (np.concatenate(x) for x in zip(*own))
+            del own, blobs
             for a, c in meetings(key, line, role, sig, k):
                 both = np.unique(np.stack([np.minimum(a, c), np.maximum(a, c)], axis=1), axis=0)
                 yield common.batch(schema, np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1]))

@@ -20,10 +20,11 @@ strings with one anchor form a context (LENGTH to 2 * LENGTH - GRAM bytes).
 4. The spans of all other places go back to their documents and are merged.
 
 Rows travel as compressed arrays, dealt by hash; a batch sends an anchor that it
-holds many times, or a context, once.  No step holds more than its share of the
-shards.  The contexts of an anchor that occurs HOT times or more are cut again, by a
-second anchor of another hash, and dealt by both, so that they are many tasks' work;
-equal strings still meet.  What is large even so is split by string inside its task.
+holds many times, or a context, once.  A task that gets several shards of anchors or
+contexts holds one at a time.  The contexts of an anchor that occurs HOT times or more
+are cut again, by a second anchor of another hash, and dealt by both, so that they are
+many tasks' work; equal strings still meet.  What is large even so is split by string
+inside its task.
 
 Edge cases: null text is empty; texts shorter than LENGTH stay; texts of any length are
 read whole, in parts; rows that repeat a document in full are that document and give equal
@@ -189,6 +190,19 @@ def _by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]
             yield s, order[cuts[s] : cuts[s + 1]]
 
 
+def _anchor_rows(key: np.ndarray, rows: np.ndarray, who: np.ndarray, shard: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Anchors with their rows and documents, packed by shard."""
+
+    def packed() -> Iterator[tuple]:
+        for s, at in _by_shard(shard, shards):
+            used, doc = np.unique(rows["doc"][at], return_inverse=True)
+            some = rows[at]
+            some["doc"] = doc
+            yield s, ARRAYS, 0, 0, _packed(key[at], some, who[used])
+
+    yield from common.blobs(_SCHEMA, packed())
+
+
 def _documents_dealt(docs: DataFrame, shards: int) -> DataFrame:
     """Compressed texts by the shard of their id."""
 
@@ -213,11 +227,7 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
         def flushed() -> Iterator[pa.RecordBatch]:
             key, rows = (np.concatenate(x) for x in zip(*held))
             who = np.array(owners, _DOC)
-            for s, at in _by_shard((key % np.uint64(shards)).astype(np.int64), shards):
-                used, doc = np.unique(rows["doc"][at], return_inverse=True)
-                some = rows[at]
-                some["doc"] = doc
-                yield _rows([s], [ARRAYS], [0], [0], [_packed(key[at], some, who[used])])
+            yield from _anchor_rows(key, rows, who, (key % np.uint64(shards)).astype(np.int64), shards)
 
         for b in common.small(batches, 1024):
             for doc_id, text, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _h32(b.column(2).to_numpy()).tolist()):
@@ -238,12 +248,9 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
             yield from flushed()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[bytes]] = {}
-        for b in batches:
-            for s, body in zip(b.column(0).to_pylist(), b.column(4).to_pylist()):
-                blobs.setdefault(s, []).append(body)
-        while blobs:
-            _, own = blobs.popitem()
+        for _, blobs in common.row_groups(batches, "shard"):
+            own = [body for b in blobs for body in b.column(4).to_pylist()]
+            del blobs
             keys = np.sort(np.concatenate([_unpacked(x, "<u8", _ROW, _DOC)[0] for x in own]))
             again = np.unique(keys[1:][keys[1:] == keys[:-1]])
             hot = np.searchsorted(keys, again, "right") - np.searchsorted(keys, again, "left") >= HOT
@@ -252,11 +259,7 @@ def _repeated_anchors(docs: DataFrame, shards: int, length: int) -> DataFrame:
 
             def flushed() -> Iterator[pa.RecordBatch]:
                 key, rows, who = (np.concatenate(x) for x in zip(*held))
-                for s, at in _by_shard(_doc_shard(who["doc_id"][rows["doc"]], shards), shards):
-                    used, doc = np.unique(rows["doc"][at], return_inverse=True)
-                    some = rows[at]
-                    some["doc"] = doc
-                    yield _rows([s], [ARRAYS], [0], [0], [_packed(key[at], some, who[used])])
+                yield from _anchor_rows(key, rows, who, _doc_shard(who["doc_id"][rows["doc"]], shards), shards)
 
             for x in own:  # blob by blob: a blob is bounded, whatever one anchor's share is
                 key, rows, who = _unpacked(x, "<u8", _ROW, _DOC)
@@ -289,10 +292,9 @@ def _with_arrays(batches: Iterator[pa.RecordBatch], take) -> Iterator[tuple[int,
                 yield b.column(2)[k].as_py(), b.column(3)[k].as_py(), zstandard.ZstdDecompressor().decompress(b.column(4)[k].as_py())
 
 
-def _spans_out(spans: list[tuple[int, int, int, int]], shards: int) -> Iterator[pa.RecordBatch]:
+def _spans_out(spans: list[tuple[int, int, int, int]], shards: int, kind: int) -> Iterator[pa.RecordBatch]:
     a = np.array(spans, _SPAN)
-    for s, at in _by_shard(_doc_shard(a["doc_id"], shards), shards):
-        yield _rows([s], [TEXT], [0], [0], [_packed(a[at])])
+    yield from common.blobs(_SCHEMA, ((s, kind, 0, 0, _packed(a[at])) for s, at in _by_shard(_doc_shard(a["doc_id"], shards), shards)))
 
 
 _SECOND = 0x2545F4914F6CDD1D
@@ -324,12 +326,16 @@ def _contexts(tagged: DataFrame, shards: int, length: int) -> DataFrame:
 
         def flushed() -> Iterator[pa.RecordBatch]:
             keys = np.array([x[0] for x in held], np.uint64)
-            for s, at in _by_shard((keys % np.uint64(shards)).astype(np.int64), shards):
-                some = [held[k] for k in at.tolist()]
-                place = np.array([(x[1], x[2], x[3], x[3]) for x in some], _SPAN)
-                shift = np.array([x[4] for x in some], np.uint8)
-                long = np.array([len(x[5]) for x in some], np.int64)
-                yield _rows([s], [ARRAYS], [0], [0], [_packed(keys[at], place, shift, long, np.frombuffer(b"".join(x[5] for x in some), np.uint8))])
+
+            def packed() -> Iterator[tuple]:
+                for s, at in _by_shard((keys % np.uint64(shards)).astype(np.int64), shards):
+                    some = [held[k] for k in at.tolist()]
+                    place = np.array([(x[1], x[2], x[3], x[3]) for x in some], _SPAN)
+                    shift = np.array([x[4] for x in some], np.uint8)
+                    long = np.array([len(x[5]) for x in some], np.int64)
+                    yield s, ARRAYS, 0, 0, _packed(keys[at], place, shift, long, np.frombuffer(b"".join(x[5] for x in some), np.uint8))
+
+            yield from common.blobs(_SCHEMA, packed())
 
         for doc_id, h, data in _with_arrays(batches, take):
             if (doc_id, h) == last:  # a repeated row
@@ -361,12 +367,12 @@ def _contexts(tagged: DataFrame, shards: int, length: int) -> DataFrame:
                 yield from flushed()
                 held, size = [], 0
             if len(spans) >= 200_000:
-                yield from _spans_out(spans, shards)
+                yield from _spans_out(spans, shards, TEXT)
                 spans = []
         if held:
             yield from flushed()
         if spans:
-            yield from _spans_out(spans, shards)
+            yield from _spans_out(spans, shards, TEXT)
 
     return tagged.mapInArrow(run, TAGGED)
 
@@ -406,22 +412,19 @@ def _spans(dealt: DataFrame, shards: int, length: int) -> DataFrame:
     """Spans to remove, as arrays by the shard of the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[bytes]] = {}
         out: list[tuple[int, int, int, int]] = []
-        for b in batches:
-            for s, kind, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(4).to_pylist()):
-                if kind == TEXT:
-                    yield _rows([s], [ARRAYS], [0], [0], [body])
-                else:
-                    blobs.setdefault(s, []).append(body)
-
-        def passed() -> Iterator[pa.RecordBatch]:
-            a = np.array(out, _SPAN)
-            for s, at in _by_shard(_doc_shard(a["doc_id"], shards), shards):
-                yield _rows([s], [ARRAYS], [0], [0], [_packed(a[at])])
 
-        while blobs:
-            _, own = blobs.popitem()
+        for shard, blobs in common.row_groups(batches, "shard"):
+            own = []
+            for b in blobs:
+                for kind, body in zip(b.column(1).to_pylist(), b.column(4).to_pylist()):
+                    if kind == TEXT:
+                        yield _rows([shard], [ARRAYS], [0], [0], [body])
+                    else:
+                        own.append(body)
+            del blobs
+            if not own:
+                continue
             keys, places, text = [], [], []
             for x in own:
                 key, place, shift, long, raw = _unpacked(x, "<u8", _SPAN, "u1", "<i8", "u1")
@@ -473,12 +476,12 @@ def _spans(dealt: DataFrame, shards: int, length: int) -> DataFrame:
                 chunk += group
                 size += grown
                 if len(out) >= 200_000:
-                    yield from passed()
+                    yield from _spans_out(out, shards, ARRAYS)
                     out.clear()
             if chunk:
                 solved(chunk)
         if out:
-            yield from passed()
+            yield from _spans_out(out, shards, ARRAYS)
 
     return dealt.mapInArrow(run, TAGGED)
 
