@@ -44,7 +44,7 @@ def pages(spark: SparkSession, sf_dir: str, abstracts: bool = True) -> DataFrame
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revisions before serials and differences: what only counting needs, without a sort."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    lines = table(spark, sf_dir, "lineitem").join(orders, "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").join(orders.hint("merge"), "l_orderkey")
     return lines.select(
         (F.col("l_partkey") + ARTICLE_OFFSET).alias("page_id"),
         F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("user_id"),
