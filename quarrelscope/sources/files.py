@@ -14,18 +14,20 @@ from pyspark.sql import functions as F
 
 from . import schema
 
-#: No field is this text, so an unquoted empty field reads as null and a quoted one as an empty string.
-_UNUSED_NULL = "\\N"
 _TIMES = ("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
 
 
 def read_csv(spark: SparkSession, path: str, columns) -> DataFrame:
-    """CSV with a header, standard quoting and line feeds inside quotes."""
-    return spark.read.schema(columns).option(*_TIMES).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue=_UNUSED_NULL)
+    """CSV with a header, standard quoting and line feeds inside quotes.
+
+    An unquoted empty field reads as null and a quoted one as an empty string: null is a text
+    drawn anew for each reading, which no field is.
+    """
+    return spark.read.schema(columns).option(*_TIMES).csv(path, header=True, multiLine=True, quote='"', escape='"', nullValue=uuid.uuid4().hex)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option(*_TIMES).csv(path, header=True, mode="overwrite", quote='"', escape='"', emptyValue='""', nullValue="")
+    df.write.option(*_TIMES).csv(path, header=True, mode="overwrite", quote='"', escape='"', emptyValue='""', nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def pages_out(pages: DataFrame) -> DataFrame:

@@ -309,6 +309,60 @@ def test_similarities_of_heavy_users_equal_all_pairs(spark):
         assert got.keys() == want.keys() and all(got[k] == pytest.approx(v) for k, v in want.items())
 
 
+def test_best_similarities_hold_all_neighbours(spark):
+    import random
+
+    random.seed(4)
+    edges = [(p, u, float(random.choice([1, 10]))) for u in range(40) for p in random.sample(range(-30, 60), 12)]
+    df = spark.createDataFrame(edges, "page_id long, user_id long, weight double")
+    every, some = graph.similarities(df), graph.similarities(df, 7, 3)
+    rows = lambda d: sorted(map(tuple, graph.jumps(d, 3).collect()))
+    assert rows(some) == rows(every) and some.count() < every.count()
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_pages_are_never_shuffled(spark):
+    df = spark.createDataFrame([(1, 7, 1.0)], "page_id long, user_id long, weight double")
+    plan = _physical(graph.similarities(df))
+    assert "hashpartitioning(_i" in plan and not {"hashpartitioning(a#", "hashpartitioning(least"} & set(plan.split())
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1  # the one with the norms, no join of edges with edges
+
+
+def test_tables_of_pages_are_never_broadcast(warehouse, pages, spark):
+    weights = spark.createDataFrame([(10, 2005, 1.0)], "page_id long, year int, weight double")
+    listed = spark.createDataFrame([(10, [1])], "page_id long, page_socialjumps array<long>")
+    for df in (polemic.articles_polemic(weights, weights), polemic.rolled_up(weights, pages.select("page_id", "parent_id")), documents.page_infos(warehouse.pages.drop("page_creationyear").withColumn("page_creationyear", F.lit(1)), listed.withColumnRenamed("page_socialjumps", "stats"), documents.neighbours(warehouse.pages, listed))):
+        assert "SortMergeJoin" in _physical(df) and "BroadcastHashJoin" not in _physical(df)
+
+
+def test_roll_up_to_all_time_needs_no_shuffle_of_its_own(warehouse):
+    from quarrelscope.operators import social
+
+    plan = _physical(social.rolled_up(warehouse.article_editors, warehouse.pagetree))
+    assert "hashpartitioning(page_id#" in plan and ", year#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_csv_keeps_white_space_and_odd_texts(spark, tmp_path):
+    odd = ["  lead", "trail  ", "\n", " ", "a\n", "\t", "\\N", "", None, '"', "a\r\nb"]
+    df = spark.createDataFrame([(i + 1, str(i), t, 5) for i, t in enumerate(odd)], "page_id long, page_title string, page_abstract string, parent_id long")
+    files.write_csv(files.pages_out(df), str(tmp_path / "pages"))
+    back = {r.page_id: r.page_abstract for r in files.pages_in(files.read_csv(spark, str(tmp_path / "pages"), schema.PAGES_CSV)).collect()}
+    assert [back[i + 1] for i in range(len(odd))] == odd
+
+
+def test_words_are_counted_where_texts_stand(spark):
+    plan = _physical(documents.word_counts(spark.createDataFrame([(1, "a b a")], "id long, text string")))
+    assert plan.count("Exchange") == 1
+    counts = documents.word_counts(spark.createDataFrame([(i, f"all w{i % 900} w{i}" if i else "all") for i in range(1200)], "id long, text string"))
+    import math
+
+    got = {(r.id, r.word): r.tfidf for r in documents.tf_idf(counts).collect()}
+    assert len(got) == counts.count() and got[5, "all"] == 0 and got[5, "w"] == round(2 * math.log(1200 / 1199), 9)
+
+
 def test_first_edits_of_a_stream(spark, tmp_path):
     rows = [(1, 7, dt.datetime(2005, 1, 1)), (1, 7, dt.datetime(2005, 1, 3)), (1, 8, dt.datetime(2005, 1, 2)), (1, None, dt.datetime(2005, 1, 2)), (2, 7, dt.datetime(2006, 1, 1))]
     spark.createDataFrame(rows, "page_id long, user_id long, rev_timestamp timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
