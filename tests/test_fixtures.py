@@ -338,6 +338,18 @@ def test_tables_of_pages_are_never_broadcast(warehouse, pages, spark):
         assert "SortMergeJoin" in _physical(df) and "BroadcastHashJoin" not in _physical(df)
 
 
+def test_pairs_and_standings_are_never_broadcast(spark):
+    year = "int(id % 2 + 2005) year"
+    pairs = spark.range(9).selectExpr("id page_id", year, "id % 3 + 1 popularity", "id % 2 + 1 conflict")  # of a known, small size
+    live = spark.range(1).selectExpr(year, "9L totalpagecount")
+    cells = spark.range(2).selectExpr(year, "id + 1 popularity", "id + 1 conflict", "3L count")
+    plan = _physical(polemic.untimed(pairs, cells, live))
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1  # the latter with the live articles, a row a year
+    cube = spark.range(9).selectExpr("'conflict' type", "id page_id", "1L topic_id", "'article' page_type", "0 year", "double(id % 4) weight")
+    plan = _physical(ranks.standings(cube))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_roll_up_to_all_time_needs_no_shuffle_of_its_own(warehouse):
     from quarrelscope.operators import social
 
