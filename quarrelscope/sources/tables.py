@@ -60,6 +60,10 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All revision columns, with serial numbers and differences within each page."""
+    """All revision columns, with serial numbers and differences within each page.
+
+    Dealt by page in as many parts as shuffles have: a given number is never coalesced, so tasks stay small.
+    """
     order = ("rev_timestamp", "_order", "_line")
-    return edits(spark, sf_dir).withColumns({"rev_serialid": serial_id(*order), "rev_chardiff": char_diff(*order)}).drop("_order", "_line")
+    dealt = edits(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page_id")
+    return dealt.withColumns({"rev_serialid": serial_id(*order), "rev_chardiff": char_diff(*order)}).drop("_order", "_line")

@@ -172,6 +172,19 @@ def test_constraints(spark, pages, revisions):
     assert bad["k1"] == 1 and bad["k2"] == 1 and bad["k3"] == 1 and bad["k4"] == 1 and bad["k6"] == 1
 
 
+def test_constraints_broadcast_no_page_ids_and_deal_revisions_once(spark):
+    from quarrelscope.sources import tables
+
+    few = spark.range(9).selectExpr("id page_id", "'x' page_title", "id % 3 parent_id", "'article' page_type")  # of a known, small size
+    edits = spark.range(9).selectExpr("id % 5 page_id", "int(id % 2) rev_serialid", "timestamp_ntz '2005-01-01' + make_interval(0, 0, 0, int(id)) rev_timestamp")
+    assert "BroadcastHashJoin" not in _physical(schema.violations(few, edits))
+    assert {r.rule: r.n for r in schema.violations(few, edits).collect()} == {"k1": 0, "k2": 0, "k3": 0, "k4": 0, "k5": 0, "k6": 4, "k7": 2, "title_length": 0, "page_type": 0}
+    more = edits.unionByName(edits).unionByName(edits.where("page_id = 1")).unionByName(edits.selectExpr("page_id", "int(null) rev_serialid", "rev_timestamp"))
+    assert {r.rule: r.n for r in schema.violations(few, more).collect()}["k3"] == more.groupBy("page_id", "rev_serialid").count().where("count > 1").count()
+    plan = _physical(tables.revisions(spark, "/root/testdata/sf0.001"))
+    assert "REPARTITION_BY_NUM" in plan and plan.count("hashpartitioning(page_id") == 1
+
+
 def test_csv_keeps_null_and_empty_apart(spark, tmp_path):
     rows = [(1, 'say "hi"', None, 0), (2, "line\nfeed, comma", "", 1), (3, "back\\slash", "x", 1)]
     df = spark.createDataFrame(rows, schema.PAGES_CSV)
