@@ -84,9 +84,14 @@ class Warehouse:
     def pages(self) -> DataFrame:
         return tree.with_creation_year(self.raw_pages, self.spans, self.timebounds)
 
+    @cached_property
+    def lives(self) -> DataFrame:
+        """(page_id, parent_id, page_type, page_creationyear): what counting needs of the pages, without their texts."""
+        return self.shared("lives", lambda: self.pages.select("page_id", "parent_id", "page_type", "page_creationyear"))
+
     @cached_property
     def pagetree(self) -> DataFrame:
-        return tree.pagetree(self.raw_pages)
+        return self.shared("pagetree", lambda: tree.pagetree(self.raw_pages))
 
     @cached_property
     def article_editors(self) -> DataFrame:
@@ -98,15 +103,15 @@ class Warehouse:
 
     @cached_property
     def live_articles(self) -> DataFrame:
-        return social.live_articles(self.pages, self.timebounds)
+        return social.live_articles(self.lives, self.timebounds)
 
     @cached_property
     def paired(self) -> DataFrame:
-        return polemic.paired(self.counts, self.raw_pages)
+        return polemic.paired(self.counts, self.lives)
 
     @cached_property
     def histogram(self) -> DataFrame:
-        return polemic.histogram(self.paired)
+        return self.shared("histogram", lambda: polemic.histogram(self.paired))
 
     @cached_property
     def dominance(self) -> DataFrame:
@@ -130,16 +135,17 @@ class Warehouse:
 
     @cached_property
     def indices(self) -> DataFrame:
-        return indices.conflict_index(self.counts).unionByName(indices.polemic_index(self.articles_polemic, self.above_polemic))
+        """Both indices where they aren't zero; written, as the cube reads them twice and the driver holds each copy of a plan."""
+        return self.shared("indices", lambda: indices.conflict_index(self.counts).unionByName(indices.polemic_index(self.articles_polemic, self.above_polemic)))
 
     @cached_property
     def cube(self) -> DataFrame:
         """The cube with weights of nine digits, so that no sum's order can part equal weights."""
-        return self.shared("cube", lambda: indices.zero_filled(self.indices, self.pages, self.timebounds).withColumn("weight", F.round("weight", 9)))
+        return self.shared("cube", lambda: indices.zero_filled(self.indices, self.lives, self.timebounds).withColumn("weight", F.round("weight", 9)))
 
     @cached_property
     def conflict_cube(self) -> DataFrame:
-        return indices.zero_filled(indices.conflict_index(self.counts), self.pages, self.timebounds)
+        return indices.zero_filled(indices.conflict_index(self.counts), self.lives, self.timebounds)
 
     @cached_property
     def ranked(self) -> DataFrame:

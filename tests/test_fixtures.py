@@ -363,6 +363,35 @@ def test_pairs_and_standings_are_never_broadcast(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+@pytest.fixture
+def exchanges(spark, monkeypatch):
+    """Makes a table of a warehouse with a fresh store; by name, the exchanges in the plan of each table written for it."""
+    from quarrelscope.plans import warehouse as plans
+
+    class Counting(Store):
+        def table(self, session, source, name, make):
+            def made():
+                df = make()
+                found[name] = _physical(df).count("Exchange ")
+                return df
+
+            return super().table(session, source, name, made)
+
+    found, store = {}, Counting()
+    monkeypatch.setattr(plans, "STORE", store)
+
+    def of(table):
+        getattr(Warehouse.of_tables(spark, "/root/testdata/sf0.001"), table)
+        return found
+
+    yield of
+    store.forget(spark)
+
+
+def test_plan_of_the_cube_stays_small(exchanges):
+    assert max(exchanges("cube").values()) <= 16  # 48 when all that it reads twice stood in its plan twice
+
+
 def test_roll_up_to_all_time_needs_no_shuffle_of_its_own(warehouse):
     from quarrelscope.operators import social
 
