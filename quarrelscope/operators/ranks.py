@@ -52,15 +52,16 @@ def standings(cube: DataFrame, keys: tuple[str, ...] = GLOBAL_KEYS, prefix: str
     return placed.select(*keys, "weight", percentile.alias(f"{prefix}percentile"), dense.alias(f"{prefix}dense_percentile"), rank.alias(f"{prefix}rank"))
 
 
-def ranked(cube: DataFrame) -> DataFrame:
-    """The cube with both standings.
+def ranked(cube: DataFrame, overall: DataFrame | None = None, in_topic: DataFrame | None = None) -> DataFrame:
+    """The cube with both standings; overall and in_topic: those of the cube, where they are at hand.
 
     Most of the cube has weight zero.  Its standings are a row for each type, year, page
     type and topic, a catalogue's size, and are broadcast; the other weights, none of which
     stands out, meet theirs by a shuffle.
     """
     zero = F.col("weight") == 0
-    overall, in_topic = standings(cube), standings(cube, TOPIC_KEYS, "topic_")
+    overall = standings(cube) if overall is None else overall
+    in_topic = standings(cube, TOPIC_KEYS, "topic_") if in_topic is None else in_topic
     at_zero = lambda s: F.broadcast(s.where(zero).drop("weight"))
     some = cube.where(~zero).join(overall.where(~zero).hint("merge"), [*GLOBAL_KEYS, "weight"]).join(in_topic.where(~zero).hint("merge"), [*TOPIC_KEYS, "weight"])
     return some.unionByName(cube.where(zero).join(at_zero(overall), [*GLOBAL_KEYS]).join(at_zero(in_topic), [*TOPIC_KEYS]))

@@ -147,9 +147,18 @@ class Warehouse:
     def conflict_cube(self) -> DataFrame:
         return indices.zero_filled(indices.conflict_index(self.counts), self.lives, self.timebounds)
 
+    @cached_property
+    def standings(self) -> DataFrame:
+        return self.shared("standings", lambda: ranks.standings(self.cube))
+
+    @cached_property
+    def topic_standings(self) -> DataFrame:
+        return self.shared("topic_standings", lambda: ranks.standings(self.cube, ranks.TOPIC_KEYS, "topic_"))
+
     @cached_property
     def ranked(self) -> DataFrame:
-        return self.shared("ranked", lambda: ranks.ranked(self.cube))
+        """Standings are written first: the cube meets each of them twice, and the driver holds each copy of a plan."""
+        return self.shared("ranked", lambda: ranks.ranked(self.cube, self.standings, self.topic_standings))
 
     @cached_property
     def topic_names(self) -> DataFrame:

@@ -392,6 +392,10 @@ def test_plan_of_the_cube_stays_small(exchanges):
     assert max(exchanges("cube").values()) <= 16  # 48 when all that it reads twice stood in its plan twice
 
 
+def test_plan_of_the_ranks_stays_small(exchanges):
+    assert exchanges("ranked")["ranked"] <= 8  # 30 when each of the standings stood in it twice
+
+
 def test_roll_up_to_all_time_needs_no_shuffle_of_its_own(warehouse):
     from quarrelscope.operators import social
 
