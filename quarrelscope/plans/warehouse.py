@@ -171,7 +171,7 @@ class Warehouse:
 
     @cached_property
     def topic_toptens(self) -> DataFrame:
-        return topten.by_topic(self.cube)
+        return self.shared("topic_toptens", lambda: topten.by_topic(self.cube))
 
     @cached_property
     def topten_lists(self) -> DataFrame:

@@ -396,6 +396,10 @@ def test_plan_of_the_ranks_stays_small(exchanges):
     assert exchanges("ranked")["ranked"] <= 8  # 30 when each of the standings stood in it twice
 
 
+def test_plan_of_the_top_ten_lists_stays_small(exchanges):
+    assert exchanges("topten_lists")["topten_lists"] <= 8  # 14 when the top tens of topics stood in it six times
+
+
 def test_roll_up_to_all_time_needs_no_shuffle_of_its_own(warehouse):
     from quarrelscope.operators import social
 
